@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import codecs
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,29 +20,46 @@ from pyspark.sql import functions as F
 
 from .common import column, slices
 
-#: Splits that a worker remembers before it starts anew, and the longest split that it remembers.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+#: Words in one generation of a worker's memory, of which it has two, and the longest word that it remembers.
+CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
 
 
-class PieceCoder:
-    """Ids of whole texts as little-endian bytes, put together from the ids of their pieces; repeated pieces are remembered."""
+class WordCoder(dict):
+    """Ids of words as little-endian bytes, remembered in two generations: words in use outlive those that are not.
+
+    `encode_new(word)` gives a word's ids.  A word of letters and one mark is put together from the two, as a pattern that
+    tells letters from marks cuts there.
+    """
+
+    MARKS = frozenset(".,;:!?")
+
+    def __init__(self, encode_new, typecode: str, entries: int = CACHE_ENTRIES, mark=None):
+        super().__init__()
+        self.encode_new, self.typecode, self.entries = encode_new, typecode, entries
+        self.marks = {m: array(typecode, (mark or encode_new)(m)).tobytes() for m in self.MARKS}
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        if word in self.older:
+            found = self.older[word]
+        elif word[-1:] in self.MARKS and word[:-1].isalpha():
+            found = self[word[:-1]] + self.marks[word[-1]]
+        else:
+            found = array(self.typecode, self.encode_new(word)).tobytes()
+        if len(word) <= CACHE_CHARS:
+            self[word] = found
+        return found
+
+    def join(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each list of words, put together."""
+        if len(self) > self.entries:
+            self.older = dict(self)
+            self.clear()
+        return [b"".join(map(self.__getitem__, words)) for words in texts]
 
-    def __init__(self, encode_new, dtype: str):
-        self.encode_new, self.dtype, self.known = encode_new, np.dtype(dtype), {}
 
-    def join(self, pieces: list[list[str]]) -> list[bytes]:
-        known = self.known
-        new = set().union(*pieces).difference(known)
-        if len(known) + len(new) > CACHE_ENTRIES:
-            known.clear()
-            new = set().union(*pieces)
-        if new:
-            new = list(new)
-            known.update(zip(new, (np.array(ids, self.dtype).tobytes() for ids in self.encode_new(new))))
-        out = [b"".join(map(known.__getitem__, p)) for p in pieces]
-        for piece in [p for p in new if len(p) > CACHE_CHARS]:
-            del known[piece]
-        return out
+#: The splitting pattern for which spaces are known to begin pieces.
+GPT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_characters() -> list[str]:
@@ -68,16 +86,24 @@ class ByteBPE:
         merges = [(name(t[:i]), name(t[i:])) for t in sorted(ranks, key=ranks.get) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.model = Tokenizer(models.BPE(vocab={name(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
         self.find = regex.compile(pattern).findall
+        self.merge = self.model.model.tokenize
         self.token = {r: t for t, r in ranks.items()}
-        self.coder = PieceCoder(self._new, "<u4")
+        # Pieces begin at a space that stands alone or ends white space, so words can be split there if no two spaces meet.
+        self.spaced = pattern == GPT_PATTERN
+        self.first = WordCoder(self._ids, "I")
+        self.later = WordCoder(lambda w: self._ids(" " + w), "I", mark=self._ids)
 
-    def _new(self, pieces):
-        shown = [p.encode().decode("latin-1").translate(self.table) for p in pieces]
-        return [e.ids for e in self.model.encode_batch_fast(shown, add_special_tokens=False)]
+    def _ids(self, text: str) -> list[int]:
+        table, merge = self.table, self.merge
+        pieces = [text] if text[text[:1] == " " :].isalpha() else self.find(text)
+        return [t.id for p in pieces for t in merge(p.encode().decode("latin-1").translate(table))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        return self.coder.join([self.find(t) for t in texts])
+        split = [t.split(" ") if self.spaced and "  " not in t else None for t in texts]
+        heads = self.first.join([self.find(t) if s is None else s[:1] for t, s in zip(texts, split)])
+        tails = self.later.join([[] if s is None else s[1:] for s in split])
+        return list(map(bytes.__add__, heads, tails))
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for; an id outside the vocabulary raises KeyError."""

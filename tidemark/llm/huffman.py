@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import PieceCoder
+from .bpe import WordCoder, byte_characters
 from .common import column, slices, staged
 
 #: The longest code; ids between two checkpoints; ids from which a block is full.
@@ -28,9 +28,9 @@ MAX_BITS, EVERY, BLOCK_IDS = 16, 256, 1 << 20
 
 
 class WordBPE:
-    """A `tokenizers` file.  Plain texts are cut by the file's own pattern here, so that repeated words are encoded once; texts with other characters go whole through the library."""
+    """A `tokenizers` file.  If it is known how the file cuts words, words of plain texts are encoded once by the library's merge model and remembered; other texts go whole through the library."""
 
-    #: Characters that NFC leaves alone and that every Unicode version classes and lower-cases alike.
+    #: Characters that NFC leaves alone, that every Unicode version classes and lower-cases alike, and no odd white space.
     OTHER = re.compile("[^\t\n\r\x20-\x7e¡-ɏ‐-‧€]")
 
     def __init__(self, path: str):
@@ -44,16 +44,28 @@ class WordBPE:
         self.lib.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        steps = [s["type"] for s in (spec.get("normalizer") or {}).get("normalizers", [])]
-        split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
-        known = steps == ["NFC", "Replace", "Lowercase"] and split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert")
-        self.find = regex.compile(split["pattern"]["Regex"]).findall if known else None
-        self.coder = PieceCoder(lambda pieces: [e.ids for e in self.lib.encode_batch_fast(pieces, add_special_tokens=False)], "<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
+        normal = [(s["type"], s.get("pattern"), s.get("content")) for s in (spec.get("normalizer") or {}).get("normalizers", [])]
+        cut, *rest = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.plain = (
+            normal == [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
+            and (cut.get("type"), cut.get("behavior"), cut.get("invert")) == ("Split", "Removed", True)
+            and cut["pattern"]["Regex"] == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # no match holds white space
+            and [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] == [("ByteLevel", False, False)]
+        )
+        self.find = regex.compile(cut["pattern"]["Regex"]).findall if self.plain else None
+        self.merge, self.table = self.lib.model.tokenize, dict(enumerate(byte_characters()))
+        self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
+        self.coder = WordCoder(self._ids, "H" if self.dtype.itemsize == 2 else "I")
+
+    def _ids(self, word: str) -> list[int]:
+        table, merge = self.table, self.merge
+        pieces = [word] if word.isascii() and word.isalpha() else self.find(word)
+        return [t.id for p in pieces for t in merge(p.encode().decode("latin-1").translate(table))]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.find is not None and not self.OTHER.search(t) for t in texts]
-        out = iter(self.coder.join([self.find(t.lower()) for t, p in zip(texts, plain) if p]))
-        return [next(out) if p else np.array(self.lib.encode(t, add_special_tokens=False).ids, self.coder.dtype).tobytes() for t, p in zip(texts, plain)]
+        plain = [self.plain and not self.OTHER.search(t) for t in texts]
+        out = iter(self.coder.join([t.lower().split() for t, p in zip(texts, plain) if p]))
+        return [next(out) if p else np.array(self.lib.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() for t, p in zip(texts, plain)]
 
 
 _LOADED: dict[str, WordBPE] = {}
@@ -73,7 +85,7 @@ def token_ids(docs: DataFrame, path: str, *, end_id: int | None = 1, id_col: str
 
     def run(batches):
         bpe = load(path)
-        end = b"" if end_id is None else np.array([end_id], bpe.coder.dtype).tobytes()
+        end = b"" if end_id is None else np.array([end_id], bpe.dtype).tobytes()
         for batch in slices(batches, 256):
             ids = [x + end for x in bpe.encode([t or "" for t in column(batch, "text").to_pylist()])]
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
@@ -179,7 +191,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
     spark = docs.sparkSession
     ids = staged(token_ids(docs, vocabulary, end_id=end_id, id_col=id_col, text_col=text_col), "token-ids")
     bpe = load(vocabulary)
-    dtype, n_ids = bpe.coder.dtype, max(bpe.lib.get_vocab_size(), (end_id or 0) + 1)
+    dtype, n_ids = bpe.dtype, max(bpe.lib.get_vocab_size(), (end_id or 0) + 1)
 
     def count(batches):
         total = np.zeros(n_ids, np.int64)
