@@ -63,9 +63,10 @@ def words(text: str) -> list[str]:
 
 
 def signature(text: str) -> int:
-    """The smallest hash of the long words (of all, if none is long): near copies mostly share it, other texts hardly ever."""
-    found = set(words(text))
-    return min((xxhash.xxh64_intdigest(w) >> 1 for w in {w for w in found if len(w) > 7} or found), default=0)
+    """The smallest hash of the text's runs of three words: near copies mostly share it, other texts hardly ever."""
+    found = words(text)
+    runs = set(zip(found, found[1:], found[2:])) or {tuple(found)}
+    return min(xxhash.xxh64_intdigest(" ".join(r)) >> 1 for r in runs)
 
 
 class Lexicon:
