@@ -133,9 +133,14 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, languages: int = L
     Rows of null id, text or lang teach nothing; without any, every text is `und`.
     """
     named = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    common = [r["lang"] for r in named.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    ids = named.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang")).where(F.col("lang").isin(common)).dropDuplicates(["doc_id"])
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    counted = named.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    # Smallest hashes first means: below a bound that some four times as many rows pass, so that few rows of a language
+    # meet in a task however many it has.
+    hashed, bound = F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 1), F.lit(None).cast("long")
+    for r in counted:
+        bound = F.when(F.col(lang_col) == r["lang"], F.lit(min(2**63 - 1, int(2**63 * 4 * per_language / r["n"])))).otherwise(bound)
+    ids = named.where(hashed <= bound).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang")).dropDuplicates(["doc_id"])
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
     ids = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("doc_id")
     texts = named.select(F.col(id_col).alias("doc_id"), F.substring(F.col(text_col), 1, 1 << 20).alias("text"), F.col(lang_col).alias("lang"))
     rows = texts.join(F.broadcast(ids), "doc_id").orderBy("lang", F.xxhash64("doc_id"), "text").dropDuplicates(["doc_id"]).collect()  # at most per_language x languages
