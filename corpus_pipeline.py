@@ -41,7 +41,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, written in the order of the mixture."""
-    return mixing.mix(docs, carry=True).orderBy(F.col("slot").asc_nulls_last(), "source", "block", "place").select("row.*")
+    return mixing.mix(docs, carry=True, rows_per_bucket=5_000).orderBy(F.col("slot").asc_nulls_last(), "source", "block", "place").select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
