@@ -11,51 +11,83 @@ from __future__ import annotations
 import base64
 import codecs
 import os
-from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, slices
-
-#: Words in one generation of a worker's memory, of which it has two, and the longest word that it remembers.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 40
-
-
-class WordCoder(dict):
-    """Ids of words as little-endian bytes, remembered in two generations: words in use outlive those that are not.
+from .common import byte_slices, column, slices
+
+#: Words that a worker remembers before it forgets all but those of its last batch.
+MEMORY_WORDS = 500_000
+
+#: A letter before a mark: splitting patterns that tell letters from marks cut there, so words can be cut there too.
+LETTER_MARK = r"(\pL)([.,;:!?])"
+
+
+class WordMemory:
+    """Ids of the words seen so far, in flat arrays; only new words are encoded, each different word of a batch once."""
+
+    def __init__(self, encode, dtype: str, limit: int = MEMORY_WORDS):
+        self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
+        self.words, self.flat, self.size = pa.array([], pa.string()), np.zeros(0, self.dtype), np.zeros(0, np.int64)
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(flat ids, starts, sizes) of different words."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        ids, sizes = [], []
+        encode, extend, add = self.encode, ids.extend, sizes.append
+        for word in new.to_pylist():
+            got = encode(word)
+            extend(got)
+            add(len(got))
+        place = at.to_numpy(zero_copy_only=False)
+        unseen = np.isnan(place) if place.dtype.kind == "f" else np.zeros(len(place), bool)
+        index = np.where(unseen, 0, place).astype(np.int64)
+        index[unseen] = len(self.words) + np.arange(int(unseen.sum()))
+        flat, size = np.concatenate([self.flat, np.array(ids, self.dtype)]), np.concatenate([self.size, np.array(sizes, np.int64)])
+        start = np.cumsum(size) - size
+        out = flat, start[index], size[index]
+        if len(size) <= self.limit:
+            self.words, self.flat, self.size = pa.concat_arrays([self.words, new]), flat, size
+        else:
+            self.words, self.flat, self.size = words, gather(*out), out[2]
+        return out
 
-    `encode_new(word)` gives a word's ids.  A word of letters and one mark is put together from the two, as a pattern that
-    tells letters from marks cuts there.
-    """
 
-    MARKS = frozenset(".,;:!?")
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of `size` from `start` on, put together."""
+    ends = np.cumsum(size)
+    source = np.repeat(start - (ends - size), size)
+    source += np.arange(len(source))
+    return flat[source]
 
-    def __init__(self, encode_new, typecode: str, entries: int = CACHE_ENTRIES, mark=None):
-        super().__init__()
-        self.encode_new, self.typecode, self.entries = encode_new, typecode, entries
-        self.marks = {m: array(typecode, (mark or encode_new)(m)).tobytes() for m in self.MARKS}
-        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        if word in self.older:
-            found = self.older[word]
-        elif word[-1:] in self.MARKS and word[:-1].isalpha():
-            found = self[word[:-1]] + self.marks[word[-1]]
-        else:
-            found = array(self.typecode, self.encode_new(word)).tobytes()
-        if len(word) <= CACHE_CHARS:
-            self[word] = found
-        return found
+def encode_words(words: pa.ListArray, memory: WordMemory, whole: dict[int, list[int]], last: int | None = None) -> pa.Array:
+    """Ids of documents given as lists of words, as a binary array of little-endian integers.
 
-    def join(self, texts: list[list[str]]) -> list[bytes]:
-        """The ids of each list of words, put together."""
-        if len(self) > self.entries:
-            self.older = dict(self)
-            self.clear()
-        return [b"".join(map(self.__getitem__, words)) for words in texts]
+    `whole` has the ids of documents that were encoded otherwise (their lists are empty); the id `last` closes each document.
+    """
+    coded = words.values.dictionary_encode()
+    flat, start, size = memory.look_up(coded.dictionary)
+    index, bounds = coded.indices.to_numpy(), words.offsets.to_numpy().astype(np.int64)
+    groups = [(np.array(list(whole), np.int64), list(whole.values()), False)]
+    if last is not None:
+        groups.append((np.arange(len(words)), [[last]], True))
+    for docs, ids, same in groups:
+        if len(docs):  # one more word, at the end of the documents
+            index = np.insert(index, bounds[docs + 1], len(size) + (np.zeros(len(docs), np.int64) if same else np.arange(len(docs))))
+            bounds = bounds + np.concatenate([[0], np.cumsum(np.bincount(docs, minlength=len(words)))])
+            more = np.array([len(x) for x in ids], np.int64)
+            start = np.concatenate([start, len(flat) + np.cumsum(more) - more])
+            flat, size = np.concatenate([flat, np.array([i for x in ids for i in x], flat.dtype)]), np.concatenate([size, more])
+    ends = np.concatenate([[0], np.cumsum(size[index])])[bounds] * flat.dtype.itemsize
+    if ends[-1] >= 2**31:
+        raise ValueError("a batch of documents has more than 2 GB of ids")
+    return pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(gather(flat, start[index], size[index]))])
 
 
 #: The splitting pattern for which spaces are known to begin pieces.
@@ -86,24 +118,33 @@ class ByteBPE:
         merges = [(name(t[:i]), name(t[i:])) for t in sorted(ranks, key=ranks.get) for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
         self.model = Tokenizer(models.BPE(vocab={name(t): r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
         self.find = regex.compile(pattern).findall
+        self.model.model._resize_cache(0)  # words are remembered here
         self.merge = self.model.model.tokenize
         self.token = {r: t for t, r in ranks.items()}
-        # Pieces begin at a space that stands alone or ends white space, so words can be split there if no two spaces meet.
+        # Pieces begin at a space that stands alone or ends white space, so words can be cut there if no two spaces meet.
         self.spaced = pattern == GPT_PATTERN
-        self.first = WordCoder(self._ids, "I")
-        self.later = WordCoder(lambda w: self._ids(" " + w), "I", mark=self._ids)
+        self.memory = WordMemory(self._ids, "<u4")
 
     def _ids(self, text: str) -> list[int]:
-        table, merge = self.table, self.merge
-        pieces = [text] if text[text[:1] == " " :].isalpha() else self.find(text)
-        return [t.id for p in pieces for t in merge(p.encode().decode("latin-1").translate(table))]
+        merge = self.merge
+        word = text[1:] if text[:1] == " " else text
+        if word.isalpha():
+            if word.isascii():  # letters stand for themselves
+                return [t.id for t in merge(word if word is text else self.table[32] + word)]
+            return [t.id for t in merge(text.encode().decode("latin-1").translate(self.table))]
+        table = self.table
+        return [t.id for p in self.find(text) for t in merge(p.encode().decode("latin-1").translate(table))]
+
+    def encode_array(self, texts: list[str]) -> pa.Array:
+        """Ids of each text as little-endian unsigned 32-bit integers, as a binary array."""
+        cut = [self.spaced and "  " not in t and "\x1f" not in t for t in texts]
+        whole = {i: [t.id for p in self.find(t) for t in self.merge(p.encode().decode("latin-1").translate(self.table))] for i, (t, c) in enumerate(zip(texts, cut)) if not c}
+        marked = pc.replace_substring(pa.array([t if c else None for t, c in zip(texts, cut)], pa.string()), " ", "\x1f ")
+        words = pc.split_pattern(pc.replace_substring_regex(marked, LETTER_MARK, "\\1\x1f\\2"), "\x1f")
+        return encode_words(pa.ListArray.from_arrays(words.offsets, words.values), self.memory, whole)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split(" ") if self.spaced and "  " not in t else None for t in texts]
-        heads = self.first.join([self.find(t) if s is None else s[:1] for t, s in zip(texts, split)])
-        tails = self.later.join([[] if s is None else s[1:] for s in split])
-        return list(map(bytes.__add__, heads, tails))
+        return self.encode_array(texts).to_pylist()
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that the ids stand for; an id outside the vocabulary raises KeyError."""
@@ -145,14 +186,15 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
 
     def run(batches):
         bpe = load(path, pattern)
-        for batch in slices(batches, 256):
+        for batch in byte_slices(batches, "text"):
             got = [t or "" for t in column(batch, "text").to_pylist()]
-            ids = bpe.encode(got)
-            cols = [column(batch, "doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            coded = bpe.encode_array(got)
+            ids = coded.to_pylist() if decoded or offsets else []
+            cols = [column(batch, "doc_id"), pc.cast(pc.divide(pc.binary_length(coded), 4), pa.int64()), coded]
             if decoded:
                 cols.append(pa.array([bpe.decode(x) for x in ids], pa.binary()))
             if offsets:
-                cols += [pa.array(c, pa.list_(pa.int32())) for c in zip(*(bpe.offsets(t, x) for t, x in zip(got, ids)))] if got else []
+                cols += [pa.array(c, pa.list_(pa.int32())) for c in zip(*(bpe.offsets(t, x) for t, x in zip(got, ids)))]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *(e[0] for e in extra)])
 
     schema = ", ".join([f"doc_id {kind}", "n_tokens long", "ids binary", *(f"{n} {k}" for n, k, _ in extra)])

@@ -7,6 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table that is no longer read."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def remainder(key: Column, mod: int) -> Column:
     """crc32 of the key as text, modulo `mod`; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
@@ -50,9 +57,17 @@ def slices(batches, rows: int = SLICE_ROWS):
             yield batch.slice(at, rows)
 
 
-def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
-    """The texts of a slice; a null counts as empty."""
-    return ["" if x is None else x for x in batch.column(name).to_pylist()]
+def byte_slices(batches, name: str, size: int = 8 << 20):
+    """Slices of about `size` bytes in the string column `name`, of one row at least."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(column(batch, name)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -16,12 +16,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import WordCoder, byte_characters
-from .common import column, slices, staged
+from .bpe import LETTER_MARK, WordMemory, byte_characters, encode_words
+from .common import byte_slices, column, drop, new_path, slices
 
 #: The longest code; ids between two checkpoints; ids from which a block is full.
 MAX_BITS, EVERY, BLOCK_IDS = 16, 256, 1 << 20
@@ -31,7 +32,7 @@ class WordBPE:
     """A `tokenizers` file.  If it is known how the file cuts words, words of plain texts are encoded once by the library's merge model and remembered; other texts go whole through the library."""
 
     #: Characters that NFC leaves alone, that every Unicode version classes and lower-cases alike, and no odd white space.
-    OTHER = re.compile("[^\t\n\r\x20-\x7e¡-ɏ‐-‧€]")
+    OTHER = re.compile("[^\t\n\r\x20-\x7e¡-įı-ɏ‐-‧€]")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,19 +54,32 @@ class WordBPE:
             and [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] == [("ByteLevel", False, False)]
         )
         self.find = regex.compile(cut["pattern"]["Regex"]).findall if self.plain else None
+        self.lib.model._resize_cache(0)  # words are remembered here
         self.merge, self.table = self.lib.model.tokenize, dict(enumerate(byte_characters()))
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
-        self.coder = WordCoder(self._ids, "H" if self.dtype.itemsize == 2 else "I")
+        self.memory = WordMemory(self._ids, self.dtype)
+
+    def size(self, end_id: int | None) -> int:
+        """One more than the largest id."""
+        return max(self.lib.get_vocab_size(), (end_id or 0) + 1)
 
     def _ids(self, word: str) -> list[int]:
-        table, merge = self.table, self.merge
-        pieces = [word] if word.isascii() and word.isalpha() else self.find(word)
-        return [t.id for p in pieces for t in merge(p.encode().decode("latin-1").translate(table))]
+        merge = self.merge
+        if word.isascii() and word.isalpha():  # letters stand for themselves
+            return [t.id for t in merge(word)]
+        table = self.table
+        return [t.id for p in self.find(word) for t in merge(p.encode().decode("latin-1").translate(table))]
+
+    def encode_array(self, texts: list[str], end_id: int | None = None) -> pa.Array:
+        """Ids of each text, and `end_id` after them, as a binary array."""
+        plain = [self.plain and not self.OTHER.search(t) for t in texts]
+        whole = {i: self.lib.encode(t, add_special_tokens=False).ids for i, (t, p) in enumerate(zip(texts, plain)) if not p}
+        lower = pa.array([t.lower() if p else None for t, p in zip(texts, plain)], pa.string())
+        words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, LETTER_MARK, r"\1 \2"))
+        return encode_words(pa.ListArray.from_arrays(words.offsets, words.values), self.memory, whole, end_id)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [self.plain and not self.OTHER.search(t) for t in texts]
-        out = iter(self.coder.join([t.lower().split() for t, p in zip(texts, plain) if p]))
-        return [next(out) if p else np.array(self.lib.encode(t, add_special_tokens=False).ids, self.dtype).tobytes() for t, p in zip(texts, plain)]
+        return self.encode_array(texts).to_pylist()
 
 
 _LOADED: dict[str, WordBPE] = {}
@@ -77,20 +91,43 @@ def load(path: str) -> WordBPE:
     return _LOADED[path]
 
 
-def token_ids(docs: DataFrame, path: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def token_ids(docs: DataFrame, path: str, *, end_id: int | None = 1, id_col: str = "doc_id", text_col: str = "text", counts: bool = False) -> DataFrame:
     """doc_id, ids (binary: little-endian, 2 bytes an id if the vocabulary allows, else 4); `end_id` closes each document.
 
-    Null and empty texts have the end id alone.
+    Null and empty texts have the end id alone.  With `counts`, each task adds rows without ids whose column `counts`
+    (binary, little-endian 64-bit, one per id) has what it has seen.
     """
 
     def run(batches):
         bpe = load(path)
-        end = b"" if end_id is None else np.array([end_id], bpe.dtype).tobytes()
-        for batch in slices(batches, 256):
-            ids = [x + end for x in bpe.encode([t or "" for t in column(batch, "text").to_pylist()])]
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+        names = ["doc_id", "ids"] + ["counts"] * counts
+        seen = np.zeros(bpe.size(end_id), np.int64)
+        for batch in byte_slices(batches, "text"):
+            ids = bpe.encode_array([t or "" for t in column(batch, "text").to_pylist()], end_id)
+            if counts:
+                seen += np.bincount(np.frombuffer(ids.buffers()[2], bpe.dtype), minlength=len(seen))
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), ids] + [pa.nulls(len(ids), pa.binary())] * counts, names=names)
+        if counts:
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen.astype("<i8").tobytes()], pa.binary())], names=names)
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary" + ", counts binary" * counts)
+
+
+def sum_counts(counted: DataFrame, size: int) -> np.ndarray:
+    """Counts per id over the rows of the column `counts`; partial sums per task, then one number per id for the driver."""
+
+    def add(batches):
+        total = np.zeros(size, np.int64)
+        for batch in slices(batches):
+            for x in column(batch, "counts").to_pylist():
+                total += np.frombuffer(x, "<i8")
+        used = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    counts = np.zeros(size, np.int64)
+    for row in counted.select("counts").where("counts is not null").mapInArrow(add, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
+        counts[row["id"]] = row["n"]
+    return counts
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -142,12 +179,15 @@ def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndar
     doc_bytes = (doc_bits + 7) // 8
     base = np.cumsum(doc_bytes) - doc_bytes
     at = total[:-1] + np.repeat(base * 8 - total[starts], sizes)  # bit offset of each id
-    words = np.zeros(int(doc_bytes.sum()) // 4 + 3)
-    shift = 64 - (at & 31) - bits
-    value = codes[ids].astype(np.uint64) << shift.astype(np.uint64)
-    # Codes don't overlap, so sums of doubles put them together exactly.
-    words += np.bincount(at >> 5, (value >> np.uint64(32)).astype(np.float64), len(words))
-    words += np.bincount((at >> 5) + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), len(words))
+    # A code lies in the two 32-bit words from word `at` on; codes of one word follow each other and don't overlap.
+    words = np.zeros(int(doc_bytes.sum()) // 4 + 3, np.uint32)
+    if len(at):
+        word = at >> 5
+        value = codes[ids].astype(np.uint64) << (64 - (at & 31) - bits).astype(np.uint64)
+        first = np.concatenate([[0], np.flatnonzero(word[1:] != word[:-1]) + 1])
+        both = np.bitwise_or.reduceat(value, first)
+        words[word[first]] = (both >> np.uint64(32)).astype(np.uint32)
+        words[word[first] + 1] |= both.astype(np.uint32)
     raw = words.astype(">u4").tobytes()
     local = at - np.repeat(base * 8, sizes)
     return [raw[b : b + n] for b, n in zip(base.tolist(), doc_bytes.tolist())], [local[s:e:every].astype(np.uint32) for s, e in zip(starts.tolist(), ends.tolist())]
@@ -189,20 +229,11 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
     Only the counts per id, which the vocabulary bounds, reach the driver.  An empty table gives a data set without blocks.
     """
     spark = docs.sparkSession
-    ids = staged(token_ids(docs, vocabulary, end_id=end_id, id_col=id_col, text_col=text_col), "token-ids")
-    bpe = load(vocabulary)
-    dtype, n_ids = bpe.dtype, max(bpe.lib.get_vocab_size(), (end_id or 0) + 1)
-
-    def count(batches):
-        total = np.zeros(n_ids, np.int64)
-        for batch in slices(batches):
-            total += np.bincount(np.frombuffer(b"".join(column(batch, "ids").to_pylist()), dtype), minlength=n_ids)
-        used = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
-
-    counts = np.zeros(n_ids, np.int64)
-    for row in ids.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[row["id"]] = row["n"]
+    kept = new_path(spark, "token-ids")
+    token_ids(docs, vocabulary, end_id=end_id, id_col=id_col, text_col=text_col, counts=True).write.option("compression", "zstd").parquet(kept)
+    table = spark.read.schema("doc_id long, ids binary, counts binary").parquet(kept)
+    ids, bpe = table.where("ids is not null").select("doc_id", "ids"), load(vocabulary)
+    dtype, counts = bpe.dtype, sum_counts(table, bpe.size(end_id))
     lengths = code_lengths(counts, max_bits)
     coded = [(int(i), int(lengths[i])) for i in np.nonzero(lengths)[0]]
     spark.createDataFrame(coded, "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
@@ -240,6 +271,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
     coded_docs = ids.mapInArrow(code, "doc_id long, n long, bits binary, points binary").withColumn("tie", F.xxhash64("bits"))
     ordered = coded_docs.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     ordered.mapInArrow(block, "part int, block int, first long, doc_ids array<long>, n_tokens array<long>, points binary, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    drop(spark, kept)
 
 
 def read(spark: SparkSession, path: str, *, max_bits: int = MAX_BITS, every: int = EVERY, digest: bool = False) -> DataFrame:
