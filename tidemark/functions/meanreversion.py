@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .frame import Frame, clamp
 from .returns import EPSILON
-from .volatility import zscore
+from .volatility import realized, squares, zscore
 
 
 def price_zscore(f: Frame, n: int) -> Column:
@@ -21,27 +21,24 @@ def mean_deviation(f: Frame, n: int) -> Column:
     return f.full(n, (f.C - mean) / (mean + EPSILON))
 
 
-def hurst_inputs(f: Frame, n: int, returns: str = "_lr") -> dict[str, Column]:
-    """Columns that `hurst_proxy` works on: the window's returns, their mean and deviation."""
-    r = F.col(returns)
-    return {f"_rs_list_{n}": F.collect_list(r).over(f.w(n)), f"_rs_mean_{n}": F.avg(r).over(f.w(n)), f"_rs_dev_{n}": F.stddev_samp(r).over(f.w(n))}
+def hurst_inputs(f: Frame, n: int, log_close: str = "_lnc") -> tuple[dict[str, Column], dict[str, Column]]:
+    """Columns that `hurst_proxy` works on, in two steps: the window's log closes and mean return, then the walk around the mean.
+
+    The running sum of returns is the log close but for a constant, which the range doesn't see.
+    """
+    y = F.col(log_close)
+    first = {f"_rs_y_{n}": F.collect_list(y).over(f.w(n + 1)), f"_rs_m_{n}": (y - f.lag(y, n)) / n, f"_rs_s_{n}": realized(f, n)}
+    return first, {f"_rs_z_{n}": F.expr(f"transform(_rs_y_{n}, (y, i) -> y - i * _rs_m_{n})")}
 
 
 def hurst_proxy(n: int) -> Column:
-    """Rescaled range of n log returns, all there, as ln(R/S) / ln n, within [0, 1]; 0.5 where R or S is zero.
+    """Rescaled range of n log returns, all there, as ln(R/S) / ln n, within [0, 1]; 0.5 where R or S is zero."""
+    span, dev = F.array_max(f"_rs_z_{n}") - F.array_min(f"_rs_z_{n}"), F.col(f"_rs_s_{n}")
+    return F.when(dev.isNotNull(), F.when((dev > 0) & (span > 0), clamp(F.ln(span / dev) / math.log(n), 0, 1)).otherwise(0.5))
 
-    A fold over the window's array inside the JVM: the range of the running sum of deviations from the mean.
-    """
-    fold = f"""aggregate(_rs_list_{n}, named_struct('z', 0D, 'low', 0D, 'high', 0D),
-        (s, r) -> named_struct('z', s.z + (r - _rs_mean_{n}), 'low', least(s.low, s.z + (r - _rs_mean_{n})), 'high', greatest(s.high, s.z + (r - _rs_mean_{n}))),
-        s -> s.high - s.low)"""
-    span, dev = F.expr(fold), F.col(f"_rs_dev_{n}")
-    return F.when(F.size(f"_rs_list_{n}") == n, F.when((dev > 0) & (span > 0), clamp(F.ln(span / dev) / math.log(n), 0, 1)).otherwise(0.5))
-
-
-def autocorrelation(f: Frame, n: int, returns: str = "_lr", before: str = "_lr1") -> Column:
-    """Correlation of returns with those one bar before, over n pairs; 0 where either doesn't vary."""
-    a, b = F.col(returns), F.col(before)
-    sa, sb = F.stddev_samp(a).over(f.w(n)), F.stddev_samp(b).over(f.w(n))
-    value = F.when((sa > 0) & (sb > 0), clamp(F.covar_samp(a, b).over(f.w(n)) / (sa * sb), -1, 1)).otherwise(0.0)
-    return F.when((F.count(a).over(f.w(n)) == n) & (F.count(b).over(f.w(n)) == n), value)
+
+def autocorrelation(f: Frame, n: int) -> Column:
+    """Correlation of returns with those one bar before, over n pairs, all there; 0 where either doesn't vary."""
+    a, b = squares(f, n), squares(f, n, 1)
+    both = f.last("_p_rb", n) - f.last("_p_r", n) * f.last("_p_r", n, 1) / n
+    return F.when(f.last("_k_rb", n) == n, F.when((a > 0) & (b > 0), clamp(both / F.sqrt(a * b), -1, 1)).otherwise(0.0))

@@ -14,8 +14,8 @@ HIGH_COLUMNS = ("mtf_1h_ret_log_cc_4", "mtf_1h_ret_log_cc_24", "mtf_1h_mom_rsi_1
 MICRO_COLUMNS = ("mtf_1m_vol_dispersion", "mtf_1m_taker_trend", "mtf_1m_return_skew")
 
 
-def base_columns(f: Frame) -> tuple[dict[str, Column], dict[str, Column]]:
-    """What several features share: first the previous close, then what follows from it."""
+def with_base(df: DataFrame, f: Frame) -> DataFrame:
+    """Add what several features share: the previous close, what follows from it, and running totals of returns."""
     first = {"_c1": f.lag(f.C, 1), "_lnc": F.when(f.C > 0, F.ln(f.C))}
     then = {
         "_lr": returns_of("_c1", f),
@@ -24,7 +24,8 @@ def base_columns(f: Frame) -> tuple[dict[str, Column], dict[str, Column]]:
         "_down": F.when(F.col("_c1").isNotNull(), F.greatest(F.col("_c1") - f.C, F.lit(0.0))),
         "_gk": volatility.garman_klass_bar(f),
     }
-    return first, then
+    df = df.withColumns(first).withColumns(then)
+    return df.withColumn("_lr1", f.lag(F.col("_lr"), 1)).withColumns(volatility.running_returns(f))
 
 
 def returns_of(before: str, f: Frame) -> Column:
@@ -33,16 +34,14 @@ def returns_of(before: str, f: Frame) -> Column:
 
 def low_features(df: DataFrame, f: Frame, length: int) -> DataFrame:
     """The low higher timeframe's features, on its own bars."""
-    first, then = base_columns(f)
-    df = df.withColumns(first).withColumns(then)
+    df = with_base(df, f)
     df = recursive.apply(df, f, [recursive.wilder("_u14", "_up", 14), recursive.wilder("_d14", "_down", 14), recursive.wilder("_atr14", "_tr", 14)], length=length)
     values = (returns.log_return(f, 4), returns.log_return(f, 16), momentum.rsi("_u14", "_d14"), volatility.atr_percent(f, "_atr14"), structure.price_position(f, 16), liquidity.taker_buy_ratio(f), liquidity.volume_ratio(f, 16))
     return df.withColumns(dict(zip(LOW_COLUMNS, values)))
 
 
 def high_features(df: DataFrame, f: Frame, length: int) -> DataFrame:
-    first, then = base_columns(f)
-    df = df.withColumns(first).withColumns(then)
+    df = with_base(df, f)
     df = recursive.apply(df, f, [recursive.wilder("_u14", "_up", 14), recursive.wilder("_d14", "_down", 14)], length=length)
     z = f.full(24, volatility.zscore(f, f.C, 24))
     values = (returns.log_return(f, 4), returns.log_return(f, 24), momentum.rsi("_u14", "_d14"), volatility.realized(f, 24), structure.price_position(f, 24), z, liquidity.taker_buy_ratio(f))

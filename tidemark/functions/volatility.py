@@ -20,11 +20,28 @@ def atr_percent(f: Frame, atr: str) -> Column:
     return ratio(F.col(atr), f.C)
 
 
-def realized(f: Frame, n: int, returns: str = "_lr") -> Column:
+def running_returns(f: Frame, returns: str = "_lr") -> dict[str, Column]:
+    """Running totals that windows of log returns are cut from: their number, sum, squares, and products with the return before.
+
+    Log returns are small and centred, so differences of totals keep their digits; a window without movement has totals
+    that don't change at all, so zero stays exactly zero.
+    """
+    r, before = F.col(returns), F.col(f"{returns}1")
+    return {"_k_r": f.running(r.isNotNull().cast("long")), "_p_r": f.running(r), "_p_rr": f.running(r * r), "_k_rb": f.running((r * before).isNotNull().cast("long")), "_p_rb": f.running(r * before)}
+
+
+def squares(f: Frame, n: int, skip: int = 0) -> Column:
+    """Sum of squared deviations of the n returns that end `skip` rows before; zero where rounding is all there is."""
+    s, ss = f.last("_p_r", n, skip), f.last("_p_rr", n, skip)
+    around = ss - s * s / n
+    return F.when(around > 1e-13 * ss, around).otherwise(0.0)
+
+
+def realized(f: Frame, n: int) -> Column:
     """Sample deviation of n log returns, all there."""
     if n < 2:
         raise ValueError("a deviation needs two returns")
-    return f.every(F.col(returns), n, F.stddev_samp(F.col(returns)).over(f.w(n)))
+    return F.when(f.last("_k_r", n) == n, F.sqrt(squares(f, n) / (n - 1)))
 
 
 def garman_klass_bar(f: Frame) -> Column:

@@ -101,23 +101,20 @@ class FeatureEngine:
         if self.segment_on_gap:
             bars, keys = self._islands(bars), (*keys, "_island")
         rows, f = self._framed(bars, keys)
-        first, then = multitimeframe.base_columns(f)
-        rows = rows.withColumns(first | {"_step": F.unix_seconds("timestamp_utc") - F.unix_seconds(F.lag("timestamp_utc").over(f.o))}).withColumns(then)
+        rows = multitimeframe.with_base(rows, f).withColumn("_step", F.unix_seconds("timestamp_utc") - F.unix_seconds(F.lag("timestamp_utc").over(f.o)))
         if self.gk_mode == "legacy":
             rows = rows.join(volatility.garman_klass_edges(rows, keys, (12, 24)), list(keys))
-        rows = rows.withColumn("_lr1", F.lag("_lr").over(f.o))
-        rows = rows.withColumns(self._values(registry, f, 1) | self._hurst(registry, f) | {"_gap_at": F.max(F.when(F.col("_step") > self.clock.primary, F.col("_rn"))).over(f.o.rowsBetween(Window.unboundedPreceding, 0))})
+        first, then = self._hurst(registry, f)
+        rows = rows.withColumns(self._values(registry, f, 1) | first | {"_gap_at": F.max(F.when(F.col("_step") > self.clock.primary, F.col("_rn"))).over(f.o.rowsBetween(Window.unboundedPreceding, 0))}).withColumns(then)
         rows = recursive.apply(rows, f, FILTERS, length=self.length).withColumn("_line", F.col("_ema12") - F.col("_ema26"))
         rows = recursive.apply(rows, f, [SIGNAL], length=self.length)
         rows = rows.withColumns(self._values(registry, f, 2))
         return self._assembled(without_halo(rows, self.block), registry, inp, timeframe)
 
-    def _hurst(self, registry: FeatureRegistry, f: Frame) -> dict:
-        out: dict = {}
-        for feature in registry:
-            if feature.name.startswith("mr_hurst_proxy_"):
-                out |= meanreversion.hurst_inputs(f, feature.params["n"])
-        return out
+    @staticmethod
+    def _hurst(registry: FeatureRegistry, f: Frame) -> tuple[dict, dict]:
+        steps = [meanreversion.hurst_inputs(f, feature.params["n"]) for feature in registry if feature.name.startswith("mr_hurst_proxy_")]
+        return {k: v for s in steps for k, v in s[0].items()}, {k: v for s in steps for k, v in s[1].items()}
 
     @staticmethod
     def _values(registry: FeatureRegistry, f: Frame, stage: int) -> dict:
