@@ -48,7 +48,7 @@ def valid(embedding: str):
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, bad) & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int | None = None, prefix: int = 6, shared: int = 2, hot: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int | None = None, prefix: int = 7, shared: int = 2, hot: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept: vectors linked at a cosine (double precision) of `threshold` or more.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of unlike
