@@ -201,5 +201,11 @@ def test_segments_restart(spark):
     assert got["ret_log_cc_1"][30] is None and got["mom_ema_dev_12"][40] is None and got["mom_ema_dev_12"][41] is not None
 
 
+def test_own_sessions(spark):
+    rows = closes([100.0] * 3, start=START.replace(hour=5))
+    got = compute(spark, rows, ["time_session_flags"], sessions={"early": (4, 6, 1), "late": (20, 24, 2), "wide": (0, 24, 4)})
+    assert got["time_session_flags"] == [5, 5, 5]
+
+
 def test_empty_series(spark):
     assert FeatureEngine().compute(FeatureInput(series(spark, []))).count() == 0

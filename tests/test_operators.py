@@ -47,6 +47,18 @@ def test_duplicate_minute_does_not_hide_a_missing_one(spark):
     assert [r["is_complete"] for r in resample(series(spark, rows), "5m", distinct=False).collect()] == [True]
 
 
+def test_long_bars_are_those_of_the_minutes(spark):
+    """A day is put together from hours: the same as from minutes, also with a duplicate and a hole."""
+    rows = [candle(START + timedelta(seconds=60 * i), 100 + i % 13, 120 + i % 7, 80 - i % 5, 100 + i % 11, 1 + i % 3, tf="1m", complete=i != 1500) for i in range(2880) if i != 700]
+    df = series(spark, rows + rows[:1])
+    day = {r["timestamp_utc"].day: r for r in resample(df, "1d").collect()}
+    for d in (1, 2):
+        own = [r for r in rows + rows[:1] if r[0].day == d]
+        got = day[d]
+        assert (got["open"], got["high"], got["low"], got["close"], got["volume"], got["trade_count"]) == (own[0][5], max(r[6] for r in own), min(r[7] for r in own), max(own)[8], sum(r[9] for r in own), sum(r[11] for r in own))
+        assert got["is_complete"] is False
+
+
 def test_resample_rejects_and_passes_empty(spark):
     with pytest.raises(ValueError):
         resample(series(spark, []), "7m")

@@ -62,7 +62,7 @@ def micro_features(micro: DataFrame, keys: tuple[str, ...], clock: FeatureClock,
     sxx = sum((k - middle) ** 2 for k in range(n))
     last = F.max(F.when(F.col("_k") == n - 1, F.col("_r")))
     first = F.max(F.when(F.col("_k") == 0, F.col("_r")))
-    whole = (F.count(F.lit(1)) == n) & (F.count_distinct("_k") == n) & F.bool_and("is_complete")
+    whole = (F.count(F.lit(1)) == n) & (F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_k")))) == n) & F.bool_and("is_complete")
     mean, size = F.avg("_v"), F.sum(F.abs("_r"))
     parts = rows.groupBy(*keys, "_bucket").agg(
         whole.alias("_whole"),

@@ -12,6 +12,9 @@ from ..schema import CANDLE_COLUMNS, RESAMPLED, seconds
 
 _SERIES = ("venue", "instrument", "market_type")
 
+#: Candles of a bar that the bits of one long can tell apart.
+BITS = 63
+
 
 def bar_aggregates(ts: str = "timestamp_utc") -> list[Column]:
     """First open, highest high, lowest low, last close, sums."""
@@ -38,23 +41,46 @@ def resample(candles: DataFrame, timeframe: str, *, base_seconds: int = 60, dist
 
 
 def resample_all(candles: DataFrame, timeframes: Iterable[str] = RESAMPLED, *, base_seconds: int = 60, distinct: bool = True) -> DataFrame:
-    """All `timeframes` in one scan, each from the base candles; rows are told apart by `timeframe`.
+    """All `timeframes`, told apart by `timeframe`; what each has is what the base candles say, not what other bars do.
 
-    Aggregation is partial before the shuffle, so a row is sent per bucket and task, not per candle.
+    Aggregation is partial before the shuffle, so a row is sent per bucket and task, not per candle.  The distinct minutes
+    of a bar are the bits of one long; bars of more candles than it has bits are put together from the bars of a shorter
+    timeframe, whose sums, extremes, ends and bits are all that is needed.
     """
-    steps = [(tf, seconds(tf)) for tf in timeframes]
-    for tf, step in steps:
+    steps = {tf: seconds(tf) for tf in timeframes}
+    for tf, step in steps.items():
         if tf not in RESAMPLED or step <= base_seconds or step % base_seconds:
             raise ValueError(f"can't make {tf!r} from candles of {base_seconds} s")
+    short = {tf: step for tf, step in steps.items() if step // base_seconds <= BITS}
+    out = _finished(_bars(candles, short, base_seconds), candles, base_seconds, distinct) if short else None
+    for tf, step in steps.items():
+        if tf not in short:
+            part = max((s for s in map(seconds, RESAMPLED) if s // base_seconds <= BITS and s > base_seconds and step % s == 0), default=None)
+            if part is None:
+                raise ValueError(f"can't make {tf!r} from candles of {base_seconds} s")
+            parts = _bars(candles, {tf: part}, base_seconds).withColumn("timestamp_utc", F.col("_bucket"))
+            whole = parts.groupBy(*_SERIES, "timeframe", F.lit(step).alias("_step"), floor_to(F.col("timestamp_utc"), step).alias("_bucket")).agg(*bar_aggregates(), F.sum("_n").alias("_n"), F.sum("_d").alias("_d"), F.bool_and("_all").alias("_all"))
+            bars = _finished(whole, candles, base_seconds, distinct)
+            out = bars if out is None else out.unionByName(bars)
+    if out is None:
+        raise ValueError("no timeframes")
+    return out
+
+
+def _bars(candles: DataFrame, steps: dict[str, int], base_seconds: int) -> DataFrame:
+    """Bars with their numbers of candles (_n) and of distinct candles (_d), and whether all are complete."""
     ts = F.col("timestamp_utc")
-    targets = F.array(*[F.struct(F.lit(tf).alias("tf"), F.lit(step).alias("step"), floor_to(ts, step).alias("bucket")) for tf, step in steps])
+    targets = F.array(*[F.struct(F.lit(tf).alias("tf"), F.lit(step).alias("step"), floor_to(ts, step).alias("bucket")) for tf, step in steps.items()])
     rows = candles.drop("timeframe").withColumn("_t", F.explode(targets)).select("*", F.col("_t.tf").alias("timeframe"), F.col("_t.step").alias("_step"), F.col("_t.bucket").alias("_bucket")).drop("_t")
     minute = ((F.unix_seconds("timestamp_utc") - F.unix_seconds("_bucket")) / base_seconds).cast("int")
-    # Distinct minutes without a second shuffle: a bitmap of up to 1440 bits would do for minutes; a set is as small.
-    count = F.size(F.collect_set(minute)) if distinct else F.count(F.lit(1))
-    bars = rows.groupBy(*_SERIES, "timeframe", "_step", "_bucket").agg(*bar_aggregates(), count.alias("_n"), F.bool_and("is_complete").alias("_all"), F.max("timestamp_utc").alias("_last"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), minute)
+    return rows.groupBy(*_SERIES, "timeframe", "_step", "_bucket").agg(*bar_aggregates(), F.count(F.lit(1)).alias("_n"), F.bit_count(F.bit_or(bit)).cast("long").alias("_d"), F.bool_and("is_complete").alias("_all"))
+
+
+def _finished(bars: DataFrame, candles: DataFrame, base_seconds: int, distinct: bool) -> DataFrame:
     reach = candles.groupBy(*_SERIES).agg(F.max("timestamp_utc").alias("_reach"))
-    done = (F.col("_n") == (F.col("_step") / base_seconds).cast("int")) & F.col("_all") & (F.unix_seconds("_reach") >= F.unix_seconds("_bucket") + F.col("_step") - base_seconds)
+    count = F.col("_d") if distinct else F.col("_n")
+    done = (count == (F.col("_step") / base_seconds).cast("int")) & F.col("_all") & (F.unix_seconds("_reach") >= F.unix_seconds("_bucket") + F.col("_step") - base_seconds)
     return bars.join(reach, list(_SERIES)).withColumn("is_complete", done).withColumn("timestamp_utc", F.col("_bucket")).select(*CANDLE_COLUMNS)
 
 

@@ -6,6 +6,7 @@ before that, and a long series is cut in blocks with a halo (see `blocks`), so n
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..clock import FeatureClock
 from ..functions import Frame, meanreversion, multitimeframe, recursive, volatility
-from ..functions.session_time import SESSION_VERSION
+from ..functions.session_time import SESSION_VERSION, SESSIONS
 from ..schema import KEY
 from . import contracts
 from ..operators.blocks import BUCKET_SECONDS, index_bars, previous, with_halo, without_halo
@@ -50,13 +51,14 @@ class FeatureEngine:
     segment_on_gap: bool = False
     complete_htf: bool = False
     nan_count: str = "all"
+    sessions: Mapping[str, tuple[int, int, int]] = field(default_factory=lambda: dict(SESSIONS))
     keys: tuple[str, ...] = tuple(KEY)
     length: int = field(default=recursive.chunk_length([k.a for k in [*FILTERS, SIGNAL]]))
     halo: int = field(default=recursive.halo_length([k.a for k in [*FILTERS, SIGNAL]]) + 128)
 
     @property
     def features(self) -> FeatureRegistry:
-        return self.registry or default_registry(self.clock, self.gk_mode)
+        return self.registry or default_registry(self.clock, self.gk_mode, self.sessions)
 
     def _framed(self, df: DataFrame, keys: tuple[str, ...], narrow: list[str] | None = None) -> tuple[DataFrame, Frame]:
         rows = with_halo(index_bars(df, keys), self.block, self.halo).withColumn("_chunk", F.floor(F.col("_rn") / self.length))

@@ -5,7 +5,7 @@ A definition holds its Column builder, so a registered feature is computed; the
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -115,7 +115,7 @@ FILTERS = [recursive.ema(f"_ema{n}", "close", n) for n in (12, 26, 50)] + [recur
 SIGNAL = recursive.ema("_signal", "_line", 9, start=25)
 
 
-def default_registry(clock: FeatureClock = FeatureClock(), gk_mode: str = "window") -> FeatureRegistry:
+def default_registry(clock: FeatureClock = FeatureClock(), gk_mode: str = "window", sessions: Mapping[str, tuple[int, int, int]] = session_time.SESSIONS) -> FeatureRegistry:
     """108 features, 116 columns."""
     r = FeatureRegistry()
     add = lambda *a, **k: r.register(_one(*a, **k))
@@ -178,7 +178,7 @@ def default_registry(clock: FeatureClock = FeatureClock(), gk_mode: str = "windo
         ("time_hour_cos", "double", lambda f: session_time.hour_angle(f.TS)[1]),
         ("time_dow_sin", "double", lambda f: session_time.day_angle(f.TS)[0]),
         ("time_dow_cos", "double", lambda f: session_time.day_angle(f.TS)[1]),
-        ("time_session_flags", "short", lambda f: session_time.session_flags(f.TS)),
+        ("time_session_flags", "short", lambda f: session_time.session_flags(f.TS, sessions)),
         ("time_bars_since_midnight", "short", lambda f: session_time.bars_since_midnight(f.TS, clock.primary)),
         ("time_bars_since_week_open", "short", lambda f: session_time.bars_since_week_open(f.TS, clock.primary)),
     ):
