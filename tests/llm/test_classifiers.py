@@ -93,16 +93,27 @@ def test_empty_tables(make, spark, run):
     assert run(make([(1, "some text", None)]), labels).count() == 1
 
 
+def fitted(texts, langs, **options):
+    found = [(s, lang) for t, lang in zip(texts, langs) for s in language.pick(t, 4)]
+    return language.Classifier([f[0] for f in found], [f[1] for f in found], **options)
+
+
 def test_folded_weights_are_the_kernel():
     texts = ["the cat and the dog went out", "der hund und die katze gehen", "el perro y el gato salen", "the house", "das haus ist", "la casa es"] * 4
     langs = ["en", "de", "es"] * 8
-    model = language.Classifier(texts, langs, landmarks=9)
-    (doc, x, letters), *_ = list(language.presence(["the dog and das haus"]))
+    model = fitted(texts, langs, landmarks=9)
+    data, seg, docs = language.segments(["the dog and das haus"])
+    ((_, x, letters),) = language.presence(data, seg, len(docs))
+    assert x.sum() <= len({data[i : i + n].tobytes() + bytes([n]) for n in (1, 2, 3) for i in range(len(data))}) and letters.sum() == 16
     kernel = (x @ model.landmarks.T) / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
-    direct = kernel @ model.coefficients + model.offset
-    assert np.allclose(model.scores(["the dog and das haus"]), direct, atol=1e-4)
-    plain = {tuple(sorted({t[i : i + n] for n in (1, 2, 3) for i in range(len(t))})) for t in ["ab"]}
-    assert plain and model.predict(["the cat"])[0] == ["en"]
+    assert np.allclose(model.scores(["the dog and das haus"]), kernel @ model.coefficients + model.offset, atol=1e-4)
+    assert model.predict(["the cat"])[0] == ["en"] and model.predict([None, "12 !"])[0] == ["und", "und"]
+
+
+def test_picked_segments_spread_over_the_text():
+    text = "".join(chr(97 + i // 600) * 600 for i in range(0, 600 * 20, 600))
+    got = language.pick(text, 4)
+    assert len(got) == 4 and got[0][:1] == b"a" and got[-1].strip()[-1:] == b"t" and language.pick("12 34", 4) == []
 
 
 def test_discriminant_is_the_log_density_difference():

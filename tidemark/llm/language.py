@@ -51,42 +51,45 @@ def cells(data: np.ndarray, n: int) -> np.ndarray:
     return (((gram + np.uint32(n << 24)) * np.uint32(2654435761)) >> np.uint32(32 - 14)).astype(np.intp)
 
 
-def presence(texts: list[str]):
-    """Per batch of segments: (documents of the segments, presence matrix, letters of each segment)."""
-    data, seg, doc = segments(texts)
+def presence(data: np.ndarray, seg: np.ndarray, count: int):
+    """Per batch of segments: (first segment, presence matrix, letters of each segment)."""
     grams = [cells(data, n) for n in (1, 2, 3)]
-    letters = np.bincount(seg, _IS_LETTER[data], len(doc))
+    letters = np.bincount(seg, _IS_LETTER[data], count)
     x = np.zeros((BATCH, CELLS), np.float32)
     flat = x.reshape(-1)
-    for s in range(0, len(doc), BATCH):
-        e = min(s + BATCH, len(doc))
+    for s in range(0, count, BATCH):
+        e = min(s + BATCH, count)
         lo, hi = np.searchsorted(seg, [s, e])
         x[: e - s] = 0
         base = (seg[lo:hi] - s) * CELLS
         for g in grams:
             flat[base + g[lo:hi]] = 1
-        yield doc[s:e], x[: e - s], letters[s:e]
+        yield s, x[: e - s], letters[s:e]
+
+
+def pick(text: str, n: int) -> list[bytes]:
+    """At most n segments, spread over the whole text, of those with a fair number of letters."""
+    data, seg, docs = segments([text])
+    letters = np.bincount(seg, _IS_LETTER[data], len(docs))
+    rows = np.nonzero(letters >= max(1, min(40, letters.max())))[0]
+    rows = rows[np.unique(np.linspace(0, len(rows) - 1, min(n, len(rows))).astype(int))] if len(rows) else rows
+    return [data[slice(*np.searchsorted(seg, [r, r + 1]))].tobytes() for r in rows.tolist()]
 
 
 class Classifier:
     """Fitted scores: one column of cell weights per language."""
 
-    def __init__(self, texts: list[str], langs: list[str], *, landmarks: int = LANDMARKS, ridge: float = 1e-2, per_document: int = PER_DOCUMENT, seed: int = 7):
+    def __init__(self, samples: list[bytes], langs: list[str], *, landmarks: int = LANDMARKS, ridge: float = 1e-2, seed: int = 7):
+        """Fit on segments (as `pick` gives them) and their languages."""
         self.langs = sorted(set(langs))
         self.sharpness = 6.0
-        if not texts:
+        if not samples:
             self.weights = np.zeros((CELLS, 0), np.float32)
             return
-        xs, ys = [], []
         rng = np.random.default_rng(seed)
-        for text, lang in zip(texts, langs):
-            got = [(x.copy(), n) for _, x, n in presence([text])]
-            x, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
-            rows = np.nonzero(n >= min(40, n.max()))[0]
-            rows = rows if len(rows) <= per_document else np.sort(rng.choice(rows, per_document, replace=False))
-            xs.append(x[rows].astype(bool))
-            ys += [self.langs.index(lang)] * len(rows)
-        x, y = np.concatenate(xs).astype(np.float32), np.array(ys)
+        seg = np.repeat(np.arange(len(samples)), [len(s) for s in samples])
+        x = np.concatenate([m.astype(bool) for _, m, _ in presence(np.frombuffer(b"".join(samples), np.uint8), seg, len(samples))]).astype(np.float32)
+        y = np.array([self.langs.index(v) for v in langs])
         x = x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
         share = max(1, landmarks // len(self.langs))
         marks = np.concatenate([rng.permutation(np.nonzero(y == c)[0])[:share] for c in range(len(self.langs))])
@@ -108,7 +111,9 @@ class Classifier:
     def scores(self, texts: list[str]) -> np.ndarray:
         """Mean score per text and language."""
         total, size = np.zeros((len(texts), len(self.langs))), np.full(len(texts), 1e-9)
-        for doc, x, letters in presence(texts):
+        data, seg, docs = segments(texts)
+        for s, x, letters in presence(data, seg, len(docs)):
+            doc = docs[s : s + len(x)]
             own = np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
             f = (x @ self.weights) / own + self.offset
             np.add.at(total, doc, f * letters[:, None])
@@ -127,10 +132,11 @@ class Classifier:
         return [self.langs[b] if s else UNKNOWN for b, s in zip(best.tolist(), seen)], [float(p[i, b]) if s else 0.0 for i, (b, s) in enumerate(zip(best.tolist(), seen))]
 
 
-def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> Classifier:
-    """Fit on the `per_language` documents of the smallest id hash of each of the `languages` most frequent languages.
+def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, languages: int = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> Classifier:
+    """Fit on segments of the `per_language` documents of the smallest id hash of each of the `languages` most frequent languages.
 
-    Rows of null id, text or lang teach nothing; without any, every text is `und`.
+    `per_document` segments are spread over each whole text; equal ones count once.  Rows of null id, text or lang teach
+    nothing; without any, every text is `und`.
     """
     named = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     counted = named.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
@@ -142,10 +148,16 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, languages: int = L
     ids = named.where(hashed <= bound).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang")).dropDuplicates(["doc_id"])
     order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
     ids = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("doc_id")
-    texts = named.select(F.col(id_col).alias("doc_id"), F.substring(F.col(text_col), 1, 1 << 20).alias("text"), F.col(lang_col).alias("lang"))
-    rows = texts.join(F.broadcast(ids), "doc_id").orderBy("lang", F.xxhash64("doc_id"), "text").dropDuplicates(["doc_id"]).collect()  # at most per_language x languages
-    rows.sort(key=lambda r: (r["lang"], r["doc_id"]))
-    return Classifier([r["text"] for r in rows], [r["lang"] for r in rows], **options)
+    rows = named.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(F.broadcast(ids), "doc_id")
+
+    def picked(batches):
+        for batch in slices(batches, 64):
+            found = [(s, lang, t) for t, lang in zip(column(batch, "text").to_pylist(), column(batch, "lang").to_pylist()) for s in pick(t, per_document)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], names=["segment", "lang"])
+
+    found = rows.mapInArrow(picked, "segment binary, lang string").distinct().collect()  # at most per_document x per_language x languages
+    found.sort(key=lambda r: (r["lang"], bytes(r["segment"])))
+    return Classifier([bytes(r["segment"]) for r in found], [r["lang"] for r in found], **options)
 
 
 def identify(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,6 +173,11 @@ def identify(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text
 
 
 def classify(docs: DataFrame, *, folds: int = 4, held_fold: int = 2, **options) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; rows with crc32(doc_id) % folds = held_fold teach nothing."""
+    """doc_id, held_out, lang_pred, score; rows with crc32(doc_id) % folds = held_fold teach nothing.
+
+    Null, empty and letterless texts are `und` with score 0; long texts count whole.  Rows that repeat come back each, with
+    equal results; rows of null id are told but teach nothing; an empty table gives an empty result.  Ties go to the
+    language that sorts first.
+    """
     held = remainder(F.col("doc_id"), folds) == held_fold
     return identify(docs, fit(docs.where(~held), **options)).select("doc_id", held.alias("held_out"), "lang_pred", "score")

@@ -116,7 +116,9 @@ def fit(measured: DataFrame, labels: DataFrame, *, label_col: str = "quality", *
 def classify(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", threshold: float = 0.3, folds: int = 5, held_fold: int = 0, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, held_out, score, predicted for every document; rows with crc32(doc_id) % folds = held_fold teach nothing.
 
-    Labels other than 0 and 1 are ignored; without labels of both classes every score is the share of label 1.
+    Labels other than 0 and 1 are ignored, of several for a document the largest counts; without labels of both classes
+    every score is the share of label 1.  A null text scores as an empty one; rows that repeat come back each, with equal
+    scores; rows of null id are scored but teach nothing; an empty table gives an empty result.
     """
     measured = staged(measure(docs, id_col=id_col, text_col=text_col), "statistics")
     taught = labels.where(remainder(F.col("doc_id"), folds) != held_fold)

@@ -91,6 +91,16 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 20
 """
 
+#: All pairs by cosine, and the smallest id that links reach.
+_OP2 = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id, vec_id AS c FROM embeddings UNION SELECT r.vec_id, l.y FROM r JOIN l ON r.c = l.x)
+SELECT e.vec_id, CAST((SELECT count(*) FROM l WHERE l.x = e.vec_id) AS BIGINT) AS n_links, m.c AS component_id, e.vec_id = m.c AS kept
+FROM embeddings e JOIN (SELECT vec_id, min(c) AS c FROM r GROUP BY 1) m ON m.vec_id = e.vec_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _OP1, "op7_top_k": _OP7}
+    return {"op1_mixing": _OP1, "op2_embedding_dedup": _OP2, "op7_top_k": _OP7}

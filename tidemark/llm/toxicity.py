@@ -238,7 +238,12 @@ def score(docs: DataFrame, lexicon: Lexicon, *, threshold: float = 0.3, id_col:
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_fold: int = 2, threshold: float = 0.3, **options) -> DataFrame:
-    """doc_id, held_out, score, predicted; labels of rows with crc32(doc_id) % folds = held_fold teach nothing."""
+    """doc_id, held_out, score, predicted; labels of rows with crc32(doc_id) % folds = held_fold teach nothing.
+
+    Labels other than 0 and 1 are ignored, of several for a document the largest counts.  A null text scores as an empty
+    one; rows that repeat come back each, with equal scores; rows of null id are scored but teach nothing; an empty table
+    gives an empty result.
+    """
     lexicon = fit(docs, labels.where(remainder(F.col("doc_id"), folds) != held_fold), **options)
     scored = score(docs, lexicon, threshold=threshold)
     return scored.select("doc_id", (remainder(F.col("doc_id"), folds) == held_fold).alias("held_out"), "score", "predicted")
