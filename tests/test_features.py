@@ -209,3 +209,16 @@ def test_own_sessions(spark):
 
 def test_empty_series(spark):
     assert FeatureEngine().compute(FeatureInput(series(spark, []))).count() == 0
+
+
+def test_hurst_known_answer(spark):
+    """R = 0.03625 and S = 0.0203100960... for these eight returns."""
+    r = default_registry()
+    from tidemark.functions import meanreversion
+
+    r.register(Feature("mr_hurst_proxy_8", "own", (FeatureColumn("mr_hurst_proxy_8"),), 9, lambda f: meanreversion.hurst_proxy(8), 2, {"n": 8}))
+    c = [100.0]
+    for x in (0.01, -0.02, 0.03, -0.01, 0.02, -0.03, 0.01, 0.0):
+        c.append(c[-1] * math.exp(x))
+    got = compute(spark, closes(c), ["mr_hurst_proxy_8"], registry=r)["mr_hurst_proxy_8"]
+    assert got[:8] == [None] * 8 and abs(got[8] - 0.2785946451494484) <= 1e-12
