@@ -33,6 +33,7 @@ class Frame:
     order: tuple[str, ...] = ("timestamp_utc",)
     index: str = "_rn"
     columns: dict[str, str] = field(default_factory=dict)
+    _windows: dict[tuple, WindowSpec] = field(default_factory=dict)  # made once: each is a chain of calls to the JVM
 
     def __getattr__(self, name: str) -> Column:
         names = {"C": "close", "O": "open", "H": "high", "L": "low", "V": "volume", "QV": "quote_volume", "TB": "taker_buy_base_volume", "N": "trade_count", "TS": "timestamp_utc"}
@@ -46,11 +47,15 @@ class Frame:
 
     @property
     def o(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.order)
+        if () not in self._windows:
+            self._windows[()] = Window.partitionBy(*self.keys).orderBy(*self.order)
+        return self._windows[()]
 
     def w(self, n: int, skip: int = 0) -> WindowSpec:
         """The n rows that end `skip` rows before the current one."""
-        return self.o.rowsBetween(-(n - 1) - skip, -skip)
+        if (n, skip) not in self._windows:
+            self._windows[n, skip] = self.o.rowsBetween(-(n - 1) - skip, -skip)
+        return self._windows[n, skip]
 
     def lag(self, x: Column, n: int) -> Column:
         return F.lag(x, n).over(self.o)

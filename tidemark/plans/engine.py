@@ -135,14 +135,9 @@ class FeatureEngine:
         for c in ("vol_gk_realized_12", "vol_gk_realized_24", "mtf_1m_vol_dispersion", "mtf_1m_taker_trend"):
             if c in names:
                 domain = domain + F.when(F.col(c).isNull() & ~F.col("is_warmup") & ~F.col("has_data_gap"), 1).otherwise(0)
-        missing = F.lit(0)
-        for c in registry.columns:
-            if c.counts:
-                missing = missing + F.col(c.name).isNull().cast("int")
+        missing = F.expr(" + ".join(["0", *(f"CAST(`{c.name}` IS NULL AS INT)" for c in registry.columns if c.counts)]))
         if self.nan_count == "sentinels":
-            seen = F.lit(False)
-            for c in SENTINELS:
-                seen = seen | F.col(c).isNull()
+            seen = F.expr(" OR ".join(f"`{c}` IS NULL" for c in SENTINELS))
             missing = F.when(F.col("is_warmup") | F.col("has_data_gap") | (F.col("domain_nan_feature_count") > 0) | seen, missing).otherwise(0)
         elif self.nan_count != "all":
             raise ValueError(f"unknown way of counting {self.nan_count!r}")
