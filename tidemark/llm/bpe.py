@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import byte_slices, column, slices
 
 #: Words that a worker remembers before it forgets all but those of its last batch.
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 400_000
 
 #: A letter before a mark: splitting patterns that tell letters from marks cut there, so words can be cut there too.
 LETTER_MARK = r"(\pL)([.,;:!?])"

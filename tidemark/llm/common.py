@@ -57,7 +57,7 @@ def slices(batches, rows: int = SLICE_ROWS):
             yield batch.slice(at, rows)
 
 
-def byte_slices(batches, name: str, size: int = 8 << 20):
+def byte_slices(batches, name: str, size: int = 4 << 20):
     """Slices of about `size` bytes in the string column `name`, of one row at least."""
     for batch in batches:
         if not batch.num_rows:
