@@ -88,16 +88,22 @@ class Classifier:
             return
         rng = np.random.default_rng(seed)
         seg = np.repeat(np.arange(len(samples)), [len(s) for s in samples])
-        x = np.concatenate([m.astype(bool) for _, m, _ in presence(np.frombuffer(b"".join(samples), np.uint8), seg, len(samples))]).astype(np.float32)
+        data = np.frombuffer(b"".join(samples), np.uint8)
         y = np.array([self.langs.index(v) for v in langs])
-        x = x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
         share = max(1, landmarks // len(self.langs))
         marks = np.concatenate([rng.permutation(np.nonzero(y == c)[0])[:share] for c in range(len(self.langs))])
-        l = x[marks]
+        chosen = np.zeros(len(samples), bool)
+        chosen[marks] = True
+
+        def scaled():  # a batch of segments at a time: the whole matrix would not fit a small driver
+            for s, m, _ in presence(data, seg, len(samples)):
+                yield s, m / np.sqrt(np.maximum(m.sum(axis=1, keepdims=True), 1))
+
+        l = np.concatenate([m[chosen[s : s + len(m)]] for s, m in scaled()])
         value, vector = np.linalg.eigh((l @ l.T).astype(np.float64))
         keep = value > 1e-6 * value.max()
         root = vector[:, keep] / np.sqrt(value[keep])
-        phi = (x @ l.T) @ root
+        phi = np.concatenate([m @ l.T for _, m in scaled()]).astype(np.float64) @ root
         mean = phi.mean(axis=0)
         target = np.where(y[:, None] == np.arange(len(self.langs)), 1.0, -1.0)
         weight = (len(y) / np.maximum(1, np.bincount(y, minlength=len(self.langs))) / len(self.langs))[y]  # languages count alike
@@ -108,6 +114,10 @@ class Classifier:
         self.weights = (l.T @ self.coefficients).astype(np.float32)
         self.offset = (centre - mean @ beta).astype(np.float32)
 
+    def __getstate__(self) -> dict:
+        """What scoring needs; the landmarks stay behind."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("landmarks", "coefficients")}
+
     def scores(self, texts: list[str]) -> np.ndarray:
         """Mean score per text and language."""
         total, size = np.zeros((len(texts), len(self.langs))), np.full(len(texts), 1e-9)
