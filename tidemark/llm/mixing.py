@@ -26,10 +26,9 @@ def schedule(weights: DataFrame, *, period: int = 1000) -> DataFrame:
     Weights become at least one unit each, and the period is the sum of the units.  Non-positive weights get no slot.
     Rows and work are bounded by the period and the number of sources, not by the documents.
     """
-    positive = weights.where("weight > 0")
-    total = positive.agg(F.sum("weight").alias("total"))
-    units = positive.crossJoin(F.broadcast(total)).select("source", F.greatest(F.lit(1), F.round(F.col("weight") * period / F.col("total"))).cast("long").alias("units"))
-    row = units.agg(F.array_sort(F.collect_list(F.struct("source", "units"))).alias("s"), F.sum("units").alias("period")).where("period > 0")
+    listed = weights.where("weight > 0").agg(F.array_sort(F.collect_list(F.struct("source", "weight"))).alias("w"), F.sum("weight").alias("total"))
+    units = f"transform(w, x -> named_struct('source', x.source, 'units', greatest(1L, cast(round(x.weight * {period} / total) as bigint))))"
+    row = listed.select(F.expr(units).alias("s")).withColumn("period", F.expr("aggregate(s, 0L, (a, x) -> a + x.units)")).where("period > 0")
     fold = """aggregate(
         sequence(0L, period - 1),
         named_struct('next', transform(s, x -> 0L), 'out', cast(array() as array<int>)),
