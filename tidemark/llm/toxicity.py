@@ -26,7 +26,9 @@ BASE = {w: 3.0 for w in "idiot idiots moron morons stupid imbecile dumbass loser
 #: Phrases in which an entry says nothing toxic.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "trash pickup", "garbage collection", "garbage collector", "garbage truck", "garbage can", "clown fish", "clown car", "circus clown", "pathetic fallacy", "idiot proof", "pond scum", "soap scum", "sore loser")
 #: Bounds of the fitted sample and of the lexicon: labelled rows a class, entries; rows that a learned entry needs, and share of the toxic rows.
-TOXIC_ROWS, CLEAN_ROWS, ENTRIES, SUPPORT, SHARE = 8_000, 16_000, 4_096, 8, 0.015
+TOXIC_ROWS, CLEAN_ROWS, ENTRIES, SUPPORT, SHARE = 8_000, 16_000, 4_096, 5, 0.015
+#: The largest rate of clean rows, as a part of the rate of toxic rows, at which an entry is learned.
+RATE = 0.02
 STEMS = (4, 5, 6, 7)
 
 _LOOK = {
@@ -132,7 +134,7 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float
 
 
 def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, *, support: int = SUPPORT, share: float = SHARE, entries: int = ENTRIES, base: Mapping[str, float] = BASE) -> dict[str, float]:
-    """Entries with weights from (word or stem*, toxic rows, clean rows): log odds, where an entry all but never is in a clean row.
+    """Entries with weights from (word or stem*, toxic rows, clean rows): log odds, where an entry is rare in clean rows.
 
     An entry needs `support` rows and `share` of the toxic rows, so that the words of one copied text teach nothing.  Of a
     stem and what it begins, the longest that stands for nearly all rows is kept; what a kept stem covers is left out.
@@ -140,7 +142,7 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, *, suppor
     need, good = max(support, share * toxic), {}
     for entry, t, c in counts:
         odds = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
-        if t >= need and c <= 0.02 * t and odds >= 2.0:
+        if t >= need and c * toxic <= RATE * t * clean and odds >= 2.0:
             good[entry] = (t, float(min(odds, 6.0)))
     longer: dict[str, int] = {}
     for entry, (t, _) in good.items():
@@ -179,9 +181,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
     marked = taught.select("doc_id", "text", "y").mapInArrow(mark, f"doc_id {kind}, text string, y int, sig long")
     taught = staged(marked.groupBy("y", "sig").agg(F.min_by("text", "doc_id").alias("text")).select("text", "y"), "taught")
 
+    sizes = {r["y"]: r["n"] for r in taught.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
+    if not toxic or not clean:
+        return Lexicon(BASE, exceptions)
+
     def count(batches):
         tally: dict[str, list[int]] = {}
-        n = [0, 0]
 
         def flush():
             keys = list(tally)
@@ -193,19 +199,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
             for text, y in zip(column(batch, "text").to_pylist(), column(batch, "y").to_pylist()):
                 seen = set(words(text))
                 seen |= {w[:k] + "*" for w in seen for k in STEMS if len(w) >= k}
-                n[y] += 1
                 for w in seen:
                     tally.setdefault(w, [0, 0])[y] += 1
             if len(tally) > 200_000:
                 yield flush()
-        tally[" "] = n
         yield flush()
 
     counted = taught.mapInArrow(count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    counts = {r["entry"]: (r["t"], r["c"]) for r in counted.where((F.col("entry") == " ") | (F.col("t") >= support) & (F.col("c") <= 0.02 * F.col("t"))).orderBy(F.desc("t"), "entry").limit(16 * ENTRIES).collect()}
-    toxic, clean = counts.pop(" ", (0, 0))
-    if not toxic or not clean:
-        return Lexicon(BASE, exceptions)
+    rare = (F.col("t") >= max(support, SHARE * toxic)) & (F.col("c") * toxic <= F.col("t") * (RATE * clean))
+    counts = {r["entry"]: (r["t"], r["c"]) for r in counted.where(rare).orderBy(F.desc("t"), "entry").limit(16 * ENTRIES).collect()}
     draft = Lexicon(choose([(e, t, c) for e, (t, c) in counts.items()], toxic, clean, support=support), exceptions)
 
     def densities(batches):
