@@ -68,3 +68,10 @@ def test_empty_and_repeated(spark):
 def test_main_path_is_native(spark):
     plan = mixing.mix(rows(spark, {"a": 3, "b": 2}))._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+def test_clashing_columns_and_odd_rows(make):
+    docs = make([(i, None if i % 5 == 0 else "text" * i, "en", None if i % 7 == 0 else f"s{i % 3}") for i in range(60)] + [(None, "x" * 100_000, None, "s1")])
+    got = mixing.mix(docs, block=4, carry=True).collect()
+    assert len(got) == 61 and all(r["row"]["fp"] == "clash" and r["row"]["doc_id"] == r["doc_id"] for r in got)
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
