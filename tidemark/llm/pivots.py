@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import column, components, forest, slices, staged, tile_pairs, whole_groups
 
@@ -57,6 +58,8 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
     """
     spark = vectors.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    element = vectors.schema[vector_col].dataType
+    held = "<f4" if isinstance(getattr(element, "elementType", None), T.FloatType) else "<f8"  # lists hold what the table holds
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     kept = rows.where(valid("v") & F.col("vec_id").isNotNull())
     distinct = staged(kept.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
@@ -83,8 +86,8 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
                 key = np.concatenate([sum(near[:, p].astype(np.int64) * width ** (len(s) - 1 - i) for i, p in enumerate(s)) for s in sets])
                 last = np.concatenate([near[:, s[-1]] for s in sets])
                 take = np.tile(at, len(sets))
-                named = pa.array([r.tobytes() for r in near.astype("<i4")], pa.binary()).take(pa.array(np.tile(np.arange(len(at)), len(sets))))
-                own = pa.array([r.tobytes() for r in x], pa.binary()).take(pa.array(np.tile(np.arange(len(at)), len(sets))))
+                named = pa.array([r.tobytes() for r in near.astype("<i2")], pa.binary()).take(pa.array(np.tile(np.arange(len(at)), len(sets))))
+                own = pa.array([r.tobytes() for r in x.astype(held)], pa.binary()).take(pa.array(np.tile(np.arange(len(at)), len(sets))))
                 cols = [pa.array(np.full(len(take), d), pa.int32()), pa.array(key), pa.array(last, pa.int32()), *(column(batch, c).take(pa.array(take)) for c in ("rep", "copies")), named, own]
                 out = pa.RecordBatch.from_arrays(cols, names=["dim", "key", "last", "rep", "copies", "near", "vec"])
                 yield from slices([out], 4096)
@@ -107,10 +110,10 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
                 if hi - lo < 2:
                     continue
-                x = np.frombuffer(b"".join(vec[lo:hi].to_pylist()), float).reshape(-1, dims[lo])
+                x = np.frombuffer(b"".join(vec[lo:hi].to_pylist()), held).astype(float).reshape(-1, dims[lo])
                 x = x / np.abs(x).max(axis=1, keepdims=True)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                p = np.frombuffer(b"".join(near[lo:hi].to_pylist()), "<i4").reshape(hi - lo, -1)
+                p = np.frombuffer(b"".join(near[lo:hi].to_pylist()), "<i2").reshape(hi - lo, -1)
                 alone = half[lo] == 2
                 left, right = (np.arange(hi - lo),) * 2 if alone else (np.nonzero(half[lo:hi] == 0)[0], np.nonzero(half[lo:hi] == 1)[0])
                 root = np.arange(hi - lo)
