@@ -26,6 +26,13 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_text_outside_a_marked_article_surges_by_itself():
+    body = ["The body lies in a plain element. " * 9, "Short.", "It goes on for a second paragraph. " * 9]
+    page = "<div>Home</div><div>" + "".join(f"<p>{b}</p>" for b in body) + "</div><div class=ad>Buy</div><article class=card><p>Another story</p></article><div>Imprint</div>"
+    assert html_text.main_text(page).split("\n") == [" ".join(b.split()) for b in ["Home", *body]] + ["Another story"]
+    assert html_text.main_text("<div>Home</div><article><p>a</p><p>" + "b " * 90 + "</p></article><div>Imprint</div>") == "a\n" + "b " * 89 + "b"
+
+
 def test_long_page_is_whole():
     n = 20000
     assert html_text.main_text("<article>" + "<p>word</p>" * n + "</article>") == "\n".join(["word"] * n)

@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block element, each with the length of its text; what is not article by its element,
 role or class name (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) keeps its line
-with length zero, as do lines that are mostly links and, where the page marks its article, lines outside it.  Lengths are
-summed over sliding windows of lines.  Text surges where the sum passes the threshold and dives where it falls to nothing;
-lines between surge and dive are kept, in page order.
+with length zero, as do lines outside a marked article that are mostly links.  Lengths are summed over sliding windows of
+lines.  Text surges where the sum passes the threshold and dives where it falls to nothing; lines between surge and dive
+are kept, in page order.  A character in a marked article (<article>, <main>) weighs as much as a whole surge, so that no
+line of it is too short; text outside has to surge by itself, and neither lifts the other.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import column, slices
 
-#: Lines in a window; characters that mark a surge on pages that don't mark their article.
+#: Lines in a window; characters that mark a surge.
 WINDOW, SURGE = 3, 86
 
 _RAW = "script|style|template|noscript|textarea|select|iframe|object|svg|math|title|head"
@@ -130,20 +131,26 @@ def main_text(page: str | None, *, window: int = WINDOW, surge: int = SURGE) ->
     found = lines(page or "")
     if not found:
         return ""
-    marked = any(inside and not bad for _, _, bad, inside in found)
-    size = np.array([0 if bad or marked and not inside else len(t) if marked else own if 2 * own >= len(t) else 0 for t, own, bad, inside in found])
-    sums = np.convolve(size, np.ones(window, int))[window - 1 :]  # of each line and those after it
-    threshold = 1 if marked else max(1, min(surge, int(sums.max(initial=0)) // 2))
+    inside = np.array([within and not bad for _, _, bad, within in found])
+    size = np.array([0 if bad else surge * len(t) if within else own if 2 * own >= len(t) else 0 for t, own, bad, within in found])
+    parts = [np.where(part, size, 0) for part in (inside, ~inside)]
+    sums = [np.convolve(part, np.ones(window, int))[window - 1 :] for part in parts]  # of each line and those after it
+    threshold = max(1, min(surge, int(max(x.max(initial=0) for x in sums)) // 2))
+    return "\n".join(found[i][0] for i in sorted(i for part, x in zip(parts, sums) for i in _between(part, x, threshold)))
+
+
+def _between(size: np.ndarray, sums: np.ndarray, threshold: int) -> list[int]:
+    """The lines between surges and dives."""
     keep, run, on = [], [], False
-    for i in range(len(found) + 1):
-        if i < len(found) and size[i] and (on or sums[i] >= threshold):
+    for i in range(len(size) + 1):
+        if i < len(size) and size[i] and (on or sums[i] >= threshold):
             on = True
             run.append(i)
             continue
         if sum(size[j] for j in run) >= threshold:  # a short line beyond a gap is no article of its own
-            keep += [found[j][0] for j in run]
-        run, on = [], on and i < len(found) and bool(sums[i])
-    return "\n".join(keep)
+            keep += run
+        run, on = [], on and i < len(size) and bool(sums[i])
+    return keep
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
