@@ -33,6 +33,32 @@ def test_text_outside_a_marked_article_surges_by_itself():
     assert html_text.main_text("<div>Home</div><article><p>a</p><p>" + "b " * 90 + "</p></article><div>Imprint</div>") == "a\n" + "b " * 89 + "b"
 
 
+LONG = "A paragraph of the article, with words enough to surge by itself on any page. " * 3
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "has-sidebar", "no-sidebar", "with-menu", "page-with-nav", "layout--sidebar", "sidebar", "content sidebar", "no-comments"])
+@pytest.mark.parametrize("inner", ["<main><article><p>{}</p><p>End.</p></article></main>", "<article><p>{}</p><p>End.</p></article>", "<p>{}</p><p>End.</p>"])
+def test_wrappers_named_after_a_part_of_the_layout(name, inner):
+    for attr in ("class", "id"):
+        page = f"<nav>Menu</nav><div {attr}='{name}'>" + inner.format(LONG) + "<div class='sidebar'>Side</div><div class=main-nav>Nav</div></div><footer>f</footer>"
+        got = html_text.main_text(page)
+        assert got.startswith(LONG.strip()) and got.split("\n")[1] == "End.", got
+        assert "Nav" not in got and "Side" not in got, got
+
+
+@pytest.mark.parametrize("name", ["sidebar", "left widget", "site-footer", "main-nav", "page-header", "post-comments", "ad-container", "cookie-notice", "share-buttons", "related-posts"])
+def test_names_of_boilerplate(name):
+    assert html_text.main_text(f"<div><p>{LONG}</p><p>{LONG}</p></div><div class='{name}'><p>{LONG}</p></div>").count("\n") == 1
+
+
+def test_comments_in_articles_are_no_article():
+    page = f"<div id=comments><article class=comment><p>{LONG}</p></article></div>"
+    assert html_text.main_text(f"<article><p>Body</p></article>{page}") == "Body"
+    assert html_text.main_text(f"<main><div class=widget><p>no</p></div><p>Body</p></main>{page}") == "Body"
+    assert html_text.main_text(f"<div class=social><main><p>Body</p></main></div>{page}") == "Body"
+    assert html_text.main_text(page) == LONG.strip()
+
+
 def test_long_page_is_whole():
     n = 20000
     assert html_text.main_text("<article>" + "<p>word</p>" * n + "</article>") == "\n".join(["word"] * n)

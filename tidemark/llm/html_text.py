@@ -30,46 +30,76 @@ _BLOCKS = frozenset("address article aside blockquote body caption center dd det
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NOT_ARTICLE = frozenset("nav footer aside form menu dialog button search".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+#: Names of what is no article wherever they stand in a class or id ("post-comments"), but after a word of _LACKS.
 _NAMES = frozenset(
-    "ad ads adv advert advertisement adsense sponsor sponsored promo promotion banner sidebar side nav navbar navigation menu menubar breadcrumb breadcrumbs "
+    "ad ads adv advert advertisement adsense sponsor sponsored promo promotion breadcrumb breadcrumbs "
     "cookie cookies consent gdpr notice notices popup modal overlay share sharing social related recommended newsletter subscribe subscription signup login "
-    "comment comments comentarios kommentare commentaires reply replies respond disqus discussion footer header masthead topbar toolbar pagination pager widget widgets tags skip".split()
+    "comment comments comentarios kommentare commentaires reply replies respond disqus discussion masthead pagination pager tags skip".split()
 )
+_LACKS = frozenset("has have no not with without hide".split())
+#: Names of parts of a layout, which wrappers of the article bear too ("has-sidebar", "content-sidebar-wrap"): they count as
+#: a whole name, or where the name has nothing but such parts and the words of _PART.
+_PARTS = frozenset("banner sidebar side nav navbar navigation menu menubar footer header topbar toolbar widget widgets".split())
+_PART = frozenset("main site page top bottom primary secondary global mobile desktop user bar link links item items list inner title logo toggle button buttons btn area".split())
 _ATTR = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 _WORD = re.compile(r"[a-z]+")
+#: How sure it is that an element is no article: by a layout name, by another name, by its element, role or being hidden.
+LAYOUT, NAMED, SURE = 1, 2, 3
 
 
-def _boilerplate(tag: str, attrs: str, inside: bool) -> bool:
+def _named(value: str) -> int:
+    level = 0
+    for name in value.split():
+        said = _WORD.findall(name)
+        if not _NAMES.isdisjoint(said) and _LACKS.isdisjoint(said):
+            return NAMED
+        if not _PARTS.isdisjoint(said) and all(w in _PARTS or w in _PART for w in said):
+            level = LAYOUT
+    return level
+
+
+def _boilerplate(tag: str, attrs: str, inside: bool) -> int:
     if tag in _NOT_ARTICLE or tag == "header" and not inside:
-        return True
+        return SURE
     if not attrs.strip() or tag in ("article", "main", "body", "html"):
-        return False
+        return 0
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs):
-        return True
+        return SURE
+    level = 0
     for name, *values in _ATTR.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name == "role" and value.strip() in _ROLES or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
-            return True
-        if name in ("class", "id") and not _NAMES.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+            return SURE
+        if name in ("class", "id"):
+            level = max(level, _named(value))
+    return level
 
 
-def lines(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters outside links, not article by its markup, in a marked article) for each non-empty line."""
+def lines(page: str) -> list[tuple[str, int, int, bool]]:
+    """(text, characters outside links, how sure its markup is no article, in a marked article) for each non-empty line."""
     out, text, links, in_link = [], [], 0, 0
-    stack: list[tuple[str, bool]] = []  # open elements and whether they are boilerplate
-    depth = article = 0
+    stack: list[tuple[str, int, list[int]]] = []  # open elements, whether they are boilerplate, marks they set aside
+    depth, article = [0, 0, 0, 0], 0  # open elements by how sure they are boilerplate
 
     def close():
         nonlocal links
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append((line, max(0, len(line) - links), depth > 0, article > 0))
+                out.append((line, max(0, len(line) - links), SURE if depth[SURE] else NAMED if depth[NAMED] or depth[LAYOUT] > 1 else depth[LAYOUT], article > 0))
             text.clear()
         links = 0
 
+    def leave() -> str:
+        nonlocal article, in_link
+        t, bad, aside = stack.pop()
+        depth[bad] -= bad > 0
+        for k, marks in enumerate(aside):
+            depth[k] += marks
+        article -= t in ("article", "main")
+        in_link -= t == "a"
+        return t
+
     def say(raw: str):
         nonlocal links
         if raw:
@@ -95,31 +125,27 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
         elif tag in ("br", "td", "th", "img"):
             text.append(" ")
         if ends:
-            if any(t == tag for t, _ in stack):
-                while stack:
-                    t, bad = stack.pop()
-                    depth -= bad
-                    article -= t in ("article", "main")
-                    in_link -= t == "a"
-                    if t == tag:
-                        break
+            if any(t == tag for t, _, _ in stack):
+                while leave() != tag:
+                    pass
         elif tag in _RAW_END and not attrs.rstrip().endswith("/"):
             if tag == "head":
                 continue
             m = _RAW_END[tag].search(page, at)
             at = m.end() if m else n
         elif tag not in _VOID and not attrs.rstrip().endswith("/"):
-            if tag in ("article", "main", "section", "h1", "body") and any(bad and t in ("nav", "header", "footer", "aside") for t, bad in stack) and not re.search(rf"</{next(t for t, bad in stack if bad)}\s*>", page[at:], re.I):
-                while any(bad for _, bad in stack):  # a menu that is never closed ends where the article begins
-                    t, bad = stack.pop()
-                    depth -= bad
-                    article -= t in ("article", "main")
-                    in_link -= t == "a"
+            if tag in ("article", "main", "section", "h1", "body") and any(bad and t in ("nav", "header", "footer", "aside") for t, bad, _ in stack) and not re.search(rf"</{next(t for t, bad, _ in stack if bad)}\s*>", page[at:], re.I):
+                while any(bad for _, bad, _ in stack):  # a menu that is never closed ends where the article begins
+                    leave()
             if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-                depth -= stack.pop()[1]
+                leave()
             bad = _boilerplate(tag, attrs, article > 0)
-            stack.append((tag, bad))
-            depth += bad
+            # An article within an element of a layout name shows that it wraps the article; <main> shows it for any name.
+            aside = [0, *depth[1 : 1 + {"article": LAYOUT, "main": NAMED}.get(tag, 0)]]
+            for k, marks in enumerate(aside):
+                depth[k] -= marks
+            stack.append((tag, bad, aside))
+            depth[bad] += bad > 0
             article += tag in ("article", "main")
             in_link += tag == "a"
     close()
@@ -132,6 +158,13 @@ def main_text(page: str | None, *, window: int = WINDOW, surge: int = SURGE) ->
     if not found:
         return ""
     inside = np.array([within and not bad for _, _, bad, within in found])
+    if not inside.any():
+        plain, layout = (sum(own for _, own, bad, _ in found if bad == k) for k in (0, LAYOUT))
+        if layout >= surge and layout > plain:  # a part of the layout holds less text than the article
+            found = [(t, own, 0 if bad == LAYOUT else bad, within) for t, own, bad, within in found]
+        elif not any(bad == 0 for _, _, bad, _ in found):  # the only article
+            found = [(t, own, 0 if bad <= NAMED and within else bad, within) for t, own, bad, within in found]
+        inside = np.array([within and not bad for _, _, bad, within in found])
     size = np.array([0 if bad else surge * len(t) if within else own if 2 * own >= len(t) else 0 for t, own, bad, within in found])
     parts = [np.where(part, size, 0) for part in (inside, ~inside)]
     sums = [np.convolve(part, np.ones(window, int))[window - 1 :] for part in parts]  # of each line and those after it
