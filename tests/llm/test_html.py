@@ -59,6 +59,17 @@ def test_comments_in_articles_are_no_article():
     assert html_text.main_text(page) == LONG.strip()
 
 
+@pytest.mark.parametrize("page,want", [
+    (f"<p>{LONG}</p><div class=ad>Buy</div><p>Short end.</p>", ["Short end."]),
+    (f"<div><p>{LONG}</p><div class=ad>Buy</div><p>Short.</p><div class=share><p>a</p><p>b</p><p>c</p><p>d</p></div><p>End.</p></div><div class=ad>Buy</div><div>Imprint</div>", ["Short.", "End."]),
+    (f"<div><div><p>{LONG}</p></div><div class=ad>Buy</div><div><p>Short end.</p></div></div>", ["Short end."]),
+    (f"<div><p>{LONG}</p><p>See <a href=x>a text of many words that is linked</a>.</p><p>End.</p><p>By <a href=y>Somebody Or Other</a></p><ul><li><a href=z>More</a></ul></div>", ["See a text of many words that is linked.", "End.", "By Somebody Or Other"]),
+])
+def test_short_lines_beside_boilerplate(page, want):
+    assert html_text.main_text(page).split("\n") == [LONG.strip(), *want]
+    assert html_text.main_text("<h1>Title</h1><div class=ad>Buy</div>" + page).split("\n") == ["Title", LONG.strip(), *want]
+
+
 def test_long_page_is_whole():
     n = 20000
     assert html_text.main_text("<article>" + "<p>word</p>" * n + "</article>") == "\n".join(["word"] * n)

@@ -4,7 +4,9 @@ Markup is stripped to lines, one per block element, each with the length of its
 role or class name (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) keeps its line
 with length zero, as do lines outside a marked article that are mostly links.  Lengths are summed over sliding windows of
 lines.  Text surges where the sum passes the threshold and dives where it falls to nothing; lines between surge and dive
-are kept, in page order.  A character in a marked article (<article>, <main>) weighs as much as a whole surge, so that no
+are kept, in page order.  Lines of zero length don't end what they stand in: lines of any length beyond them belong to the
+surge if they lie in the element that holds its lines, and lines of links do if text of the surge follows, or if they have
+words outside their links.  A character in a marked article (<article>, <main>) weighs as much as a whole surge, so that no
 line of it is too short; text outside has to surge by itself, and neither lifts the other.
 """
 
@@ -75,24 +77,31 @@ def _boilerplate(tag: str, attrs: str, inside: bool) -> int:
     return level
 
 
-def lines(page: str) -> list[tuple[str, int, int, bool]]:
-    """(text, characters outside links, how sure its markup is no article, in a marked article) for each non-empty line."""
+def lines(page: str) -> tuple[list[tuple[str, int, int, bool, int]], list[int], list[int], list[int]]:
+    """The non-empty lines and the tree of block elements.
+
+    Lines: text, characters outside links, how sure its markup is no article, in a marked article, innermost element.  Of
+    each element: its parent, the last element within it, and a number shared by elements of equal names up to the root.
+    """
     out, text, links, in_link = [], [], 0, 0
     stack: list[tuple[str, int, list[int]]] = []  # open elements, whether they are boilerplate, marks they set aside
     depth, article = [0, 0, 0, 0], 0  # open elements by how sure they are boilerplate
+    parent, last, kind, kinds, block = [0], [0], [0], {}, 0
 
     def close():
         nonlocal links
         if text:
             line = " ".join("".join(text).split())
             if line:
-                out.append((line, max(0, len(line) - links), SURE if depth[SURE] else NAMED if depth[NAMED] or depth[LAYOUT] > 1 else depth[LAYOUT], article > 0))
+                out.append((line, max(0, len(line) - links), SURE if depth[SURE] else NAMED if depth[NAMED] or depth[LAYOUT] > 1 else depth[LAYOUT], article > 0, block))
             text.clear()
         links = 0
 
     def leave() -> str:
-        nonlocal article, in_link
+        nonlocal article, in_link, block
         t, bad, aside = stack.pop()
+        if t in _BLOCKS:
+            last[block], block = len(parent) - 1, parent[block]
         depth[bad] -= bad > 0
         for k, marks in enumerate(aside):
             depth[k] += marks
@@ -145,45 +154,70 @@ def lines(page: str) -> list[tuple[str, int, int, bool]]:
             for k, marks in enumerate(aside):
                 depth[k] -= marks
             stack.append((tag, bad, aside))
+            if tag in _BLOCKS:
+                parent.append(block)
+                last.append(-1)
+                kind.append(kinds.setdefault((kind[block], tag), len(kinds) + 1))
+                block = len(parent) - 1
             depth[bad] += bad > 0
             article += tag in ("article", "main")
             in_link += tag == "a"
     close()
-    return out
+    return out, parent, [len(parent) - 1 if at < 0 or not i else at for i, at in enumerate(last)], kind
 
 
 def main_text(page: str | None, *, window: int = WINDOW, surge: int = SURGE) -> str:
     """The lines between surges and dives, joined by newlines; empty if nothing surges."""
-    found = lines(page or "")
+    found, *tree = lines(page or "")
     if not found:
         return ""
-    inside = np.array([within and not bad for _, _, bad, within in found])
+    text, own, bad, within, block = zip(*found)
+    inside = np.array([i and not b for i, b in zip(within, bad)])
     if not inside.any():
-        plain, layout = (sum(own for _, own, bad, _ in found if bad == k) for k in (0, LAYOUT))
+        plain, layout = (sum(n for n, b in zip(own, bad) if b == k) for k in (0, LAYOUT))
         if layout >= surge and layout > plain:  # a part of the layout holds less text than the article
-            found = [(t, own, 0 if bad == LAYOUT else bad, within) for t, own, bad, within in found]
-        elif not any(bad == 0 for _, _, bad, _ in found):  # the only article
-            found = [(t, own, 0 if bad <= NAMED and within else bad, within) for t, own, bad, within in found]
-        inside = np.array([within and not bad for _, _, bad, within in found])
-    size = np.array([0 if bad else surge * len(t) if within else own if 2 * own >= len(t) else 0 for t, own, bad, within in found])
+            bad = [0 if b == LAYOUT else b for b in bad]
+        elif 0 not in bad:  # the only article
+            bad = [0 if b <= NAMED and i else b for i, b in zip(within, bad)]
+        inside = np.array([i and not b for i, b in zip(within, bad)])
+    size = np.array([0 if b else surge * len(t) if i else n if 2 * n >= len(t) else 0 for t, n, b, i in zip(text, own, bad, within)])
     parts = [np.where(part, size, 0) for part in (inside, ~inside)]
     sums = [np.convolve(part, np.ones(window, int))[window - 1 :] for part in parts]  # of each line and those after it
     threshold = max(1, min(surge, int(max(x.max(initial=0) for x in sums)) // 2))
-    return "\n".join(found[i][0] for i in sorted(i for part, x in zip(parts, sums) for i in _between(part, x, threshold)))
+    links = np.array([not b and not i and not z for b, i, z in zip(bad, within, size)])
+    kept = [i for part, x in zip(parts, sums) for i in _between(part, x, threshold, links, own, block, *tree)]
+    return "\n".join(text[i] for i in sorted(kept))
 
 
-def _between(size: np.ndarray, sums: np.ndarray, threshold: int) -> list[int]:
+def _between(size: np.ndarray, sums: np.ndarray, threshold: int, links: np.ndarray, own: list[int], block: list[int], parent: list[int], last: list[int], kind: list[int]) -> list[int]:
     """The lines between surges and dives."""
-    keep, run, on = [], [], False
-    for i in range(len(size) + 1):
-        if i < len(size) and size[i] and (on or sums[i] >= threshold):
-            on = True
-            run.append(i)
+    keep: list[int] = []
+    waiting: list[int] = []  # lines of links since the surge's last line
+    holds, seen = 0, set()  # the element that holds the surge's lines and their kinds: of those of full length, if it has any
+    firm = on = gap = False  # whether it has, whether the surge is open, whether a line of zero length came last
+
+    def belongs(i: int) -> bool:
+        return holds <= block[i] <= last[holds] or bool(on and kind[block[i]] in seen)
+
+    for i in range(len(size)):
+        if not size[i]:
+            if seen and links[i] and belongs(i):
+                waiting.append(i)
+            on, gap = on and bool(sums[i]), True
             continue
-        if sum(size[j] for j in run) >= threshold:  # a short line beyond a gap is no article of its own
-            keep += run
-        run, on = [], on and i < len(size) and bool(sums[i])
-    return keep
+        goes_on = on and not gap or bool(seen) and belongs(i)
+        if goes_on or sums[i] >= threshold:
+            keep += waiting if goes_on else [j for j in waiting if own[j]]
+            full = size[i] >= threshold
+            if not goes_on or full and not firm:
+                holds, seen, firm = parent[block[i]], set(), full
+            if full or not firm:
+                while not holds <= block[i] <= last[holds]:
+                    holds = parent[holds]
+                seen.add(kind[block[i]])
+            keep.append(i)
+            waiting, on, gap = [], True, False
+    return keep + [j for j in waiting if own[j]]
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
