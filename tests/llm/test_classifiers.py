@@ -98,6 +98,18 @@ def fitted(texts, langs, **options):
     return language.Classifier([f[0] for f in found], [f[1] for f in found], **options)
 
 
+def test_every_language_is_learned(make):
+    r, rows = random.Random(2), []
+    for c in range(70):
+        vocabulary = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(r.choice(vocabulary) for _ in range(60)), f"l{c:02}") for i in range(8 if c < 64 else 6)]
+    docs = make(rows)
+    model = language.fit(docs)
+    assert model.langs == [f"l{c:02}" for c in range(70)]
+    told = {x["doc_id"]: x["lang_pred"] for x in language.identify(docs, model).collect()}
+    assert all(told[i] == lang for i, _, lang in rows)
+
+
 def test_folded_weights_are_the_kernel():
     texts = ["the cat and the dog went out", "der hund und die katze gehen", "el perro y el gato salen", "the house", "das haus ist", "la casa es"] * 4
     langs = ["en", "de", "es"] * 8

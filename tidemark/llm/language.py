@@ -21,8 +21,9 @@ from .common import column, remainder, slices
 
 #: Bytes of a segment; hashed cells of n-grams; segments scored at once.
 SEGMENT, CELLS, BATCH = 512, 1 << 14, 128
-#: Bounds of the fitted sample: documents a language, segments a document, landmarks, languages.
-PER_LANGUAGE, PER_DOCUMENT, LANDMARKS, LANGUAGES = 300, 4, 256, 64
+#: Bounds of the fitted sample: documents a language, segments a document, landmarks (at least one a language); documents
+#: in all, of which each language has at least FEW.  Languages aren't bounded.
+PER_LANGUAGE, PER_DOCUMENT, LANDMARKS, DOCUMENTS, FEW = 300, 4, 256, 19_200, 8
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -89,9 +90,11 @@ class Classifier:
         rng = np.random.default_rng(seed)
         seg = np.repeat(np.arange(len(samples)), [len(s) for s in samples])
         data = np.frombuffer(b"".join(samples), np.uint8)
-        y = np.array([self.langs.index(v) for v in langs])
-        share = max(1, landmarks // len(self.langs))
-        marks = np.concatenate([rng.permutation(np.nonzero(y == c)[0])[:share] for c in range(len(self.langs))])
+        at = {v: c for c, v in enumerate(self.langs)}
+        y = np.array([at[v] for v in langs])
+        share = -(-landmarks // len(self.langs))
+        own = np.split(np.argsort(y, kind="stable"), np.cumsum(np.bincount(y))[:-1])
+        marks = np.concatenate([rng.permutation(rows)[:share] for rows in own])
         chosen = np.zeros(len(samples), bool)
         chosen[marks] = True
 
@@ -103,13 +106,18 @@ class Classifier:
         value, vector = np.linalg.eigh((l @ l.T).astype(np.float64))
         keep = value > 1e-6 * value.max()
         root = vector[:, keep] / np.sqrt(value[keep])
-        phi = np.concatenate([m @ l.T for _, m in scaled()]).astype(np.float64) @ root
-        mean = phi.mean(axis=0)
-        target = np.where(y[:, None] == np.arange(len(self.langs)), 1.0, -1.0)
-        weight = (len(y) / np.maximum(1, np.bincount(y, minlength=len(self.langs))) / len(self.langs))[y]  # languages count alike
-        centre = (weight[:, None] * target).sum(axis=0) / weight.sum()
-        g = (phi - mean) * weight[:, None]
-        beta = np.linalg.solve(g.T @ (phi - mean) + ridge * len(y) * np.eye(phi.shape[1]), g.T @ (target - centre))
+        # Features and targets exist for a batch at a time, so that the driver holds squares of the landmarks only.
+        count = np.bincount(y, minlength=len(self.langs))
+        weight = (len(y) / count / len(self.langs))[y]  # languages count alike
+        centre = 2 * np.bincount(y, weight, len(self.langs)) / weight.sum() - 1
+        mean = sum((m @ l.T).astype(np.float64).sum(axis=0) for _, m in scaled()) @ root / len(y)
+        gram, aim = np.zeros((root.shape[1], root.shape[1])), np.zeros((root.shape[1], len(self.langs)))
+        for s, m in scaled():
+            phi = (m @ l.T).astype(np.float64) @ root - mean
+            g = phi * weight[s : s + len(m), None]
+            gram += g.T @ phi
+            aim += g.T @ (np.where(y[s : s + len(m), None] == np.arange(len(self.langs)), 1.0, -1.0) - centre)
+        beta = np.linalg.solve(gram + ridge * len(y) * np.eye(len(gram)), aim)
         self.landmarks, self.coefficients = l, root @ beta
         self.weights = (l.T @ self.coefficients).astype(np.float32)
         self.offset = (centre - mean @ beta).astype(np.float32)
@@ -142,21 +150,24 @@ class Classifier:
         return [self.langs[b] if s else UNKNOWN for b, s in zip(best.tolist(), seen)], [float(p[i, b]) if s else 0.0 for i, (b, s) in enumerate(zip(best.tolist(), seen))]
 
 
-def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, languages: int = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> Classifier:
-    """Fit on segments of the `per_language` documents of the smallest id hash of each of the `languages` most frequent languages.
+def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, per_document: int = PER_DOCUMENT, documents: int = DOCUMENTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> Classifier:
+    """Fit on segments of the `per_language` documents of the smallest id hash of each language, whatever their number.
 
+    Where languages are so many that this is more than `documents` in all, each has an equal share, at least FEW.
     `per_document` segments are spread over each whole text; equal ones count once.  Rows of null id, text or lang teach
     nothing; without any, every text is `und`.
     """
     named = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    counted = named.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    lang = F.col(lang_col).alias("lang")
+    counted = named.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()
+    per_language = min(per_language, max(FEW, documents // max(1, len(counted))))
     # Smallest hashes first means: below a bound that some four times as many rows pass, so that few rows of a language
     # meet in a task however many it has.
-    hashed, bound = F.shiftrightunsigned(F.xxhash64(F.col(id_col)), 1), F.lit(None).cast("long")
-    for r in counted:
-        bound = F.when(F.col(lang_col) == r["lang"], F.lit(min(2**63 - 1, int(2**63 * 4 * per_language / r["n"])))).otherwise(bound)
-    ids = named.where(hashed <= bound).select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang")).dropDuplicates(["doc_id"])
-    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned(F.xxhash64("doc_id"), 1), "doc_id")
+    kind = named.select(lang).schema["lang"].dataType.simpleString()
+    bounds = docs.sparkSession.createDataFrame([(r["lang"], min(2**63 - 1, int(2**63 * 4 * per_language / r["n"]))) for r in counted], f"lang {kind}, bound long")
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    ids = named.select(F.col(id_col).alias("doc_id"), lang).join(F.broadcast(bounds), "lang").where(hashed <= F.col("bound")).select("doc_id", "lang").dropDuplicates(["doc_id"])
+    order = Window.partitionBy("lang").orderBy(hashed, "doc_id")
     ids = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("doc_id")
     rows = named.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).join(F.broadcast(ids), "doc_id")
 
@@ -165,7 +176,7 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, per_document: int
             found = [(s, lang, t) for t, lang in zip(column(batch, "text").to_pylist(), column(batch, "lang").to_pylist()) for s in pick(t, per_document)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], names=["segment", "lang"])
 
-    found = rows.mapInArrow(picked, "segment binary, lang string").distinct().collect()  # at most per_document x per_language x languages
+    found = rows.mapInArrow(picked, "segment binary, lang string").distinct().collect()  # at most per_document x per_language x languages, the latter two `documents` or FEW a language
     found.sort(key=lambda r: (r["lang"], bytes(r["segment"])))
     return Classifier([bytes(r["segment"]) for r in found], [r["lang"] for r in found], **options)
 
