@@ -46,6 +46,14 @@ def test_odd_vectors(spark):
         run(spark, [(20, [1e30, 1.0]), (1, [1e30, 1.0])])
 
 
+def test_long_vectors_are_exact(spark):
+    rows = sample(200, dim=4) + [(1001, [1.5e6, 0.0, 0.0, 1.0]), (1020, [-3e6, 2e6, 0.5, 0.0]), (1040, [4e7, 1.0, 0.0, 3e6]), (1003, [2.0**24, -(2.0**20), 1.0, 0.0]), (1060, [0.25, 0.5, 0.0, 0.0])]
+    assert run(spark, rows) == brute(rows, [i for i, _ in rows if i % 20 == 0])
+    assert run(spark, rows, block=40, query_block=3) == brute(rows, [i for i, _ in rows if i % 20 == 0])
+    x = np.array([[2.0**60, 3.0], [2.0**61, -5.0]])
+    assert mtree.products(x, x).tolist() == [[2**120 + 9, 2**121 - 15], [2**121 - 15, 2**122 + 25]]
+
+
 def test_pages_are_skipped():
     r = np.random.default_rng(0)
     x = np.floor(64 * (np.repeat(r.normal(size=(40, 8)) * 5, 100, axis=0) + r.normal(size=(4000, 8)) * 0.05))

@@ -7,7 +7,8 @@ Candidates are dealt to blocks.  Each block is an M-tree: pages of routing objec
 distances, bulk-loaded level by level.  Queries of a block advance together, each along its own best-first order of
 pages; a page is left out once its lower bound d(q, o) - r exceeds the query's k-th distance, a subtree's distance is not
 computed where |d(q, parent) - d(o, parent)| - r already does, nor a vector's where its stored parent distance does.
-Bounds carry a slack for rounding, and ties are kept, so results equal a full scan.
+Bounds carry a slack for rounding, and ties are kept, so results equal a full scan.  Vectors too long for exact doubles
+stay out of the tree and are compared one by one in whole numbers.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import staged
 from .pivots import valid
 
-#: Vectors in a leaf page and entries in an inner page; relative slack of bounds.
-PAGE, FANOUT, SLACK = 256, 16, 1e-9
+#: Vectors in a leaf page and entries in an inner page; relative slack of bounds; squared length from which doubles aren't exact.
+PAGE, FANOUT, SLACK, LONG = 256, 16, 1e-9, 2.0**52
 
 
 class MTree:
@@ -130,19 +131,44 @@ class MTree:
         return best, names
 
 
+def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Exact inner products of integers held as doubles: 64-bit where all fit, else Python's integers."""
+    if np.abs(q).max() * np.abs(x).max() * x.shape[1] < 2.0**62:
+        return q.astype(np.int64) @ x.astype(np.int64).T
+    if not (np.isfinite(q).all() and np.isfinite(x).all()):
+        raise ValueError("components are too large for exact scores")
+    whole = [np.array([[int(v) for v in row] for row in m.tolist()], object) for m in (q, x)]
+    return whole[0] @ whole[1].T
+
+
+def highest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """(-score, id) of each query's k best of `x`, best first, its own id left out."""
+    out, step = [], max(1, (1 << 20) // max(1, len(x)))
+    for s in range(0, len(q) if len(x) else 0, step):
+        for own, row in zip(q_ids[s : s + step], products(q[s : s + step], x)):
+            there = np.nonzero(ids != own)[0]
+            score = row[there]
+            if len(there) > k:
+                c = score >= np.sort(score)[len(there) - k]
+                there, score = there[c], score[c]
+            out.append(sorted((-int(v), int(i)) for v, i in zip(score, ids[there]))[:k])
+    return out or [[] for _ in q_ids]
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 20, scale: float = 64.0, block: int = 32768, query_block: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k highest integer inner products among all rows but its own.
 
     Ties go to the smaller vec_id; a query of fewer than k candidates gets them all.  Vectors that are null, empty or hold
     null or non-finite components take no part, nor do rows of a null id; a zero vector scores 0.  Only vectors of a
     query's own length are its candidates.  Rows that repeat an id are candidates each, and a repeated query row counts
-    once.  Scores are exact while |floor(scale * x)|^2 sums stay under 2^53; beyond that the search raises an error.
+    once.  Scores are exact whatever the components; one among a query's best that no 64-bit integer holds raises an error.
     """
 
     def usable(df: DataFrame) -> DataFrame:
         v = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+        whole = lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(x * scale).cast("double")).otherwise(x * scale)  # noqa: E731  (beyond, doubles are whole)
         bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-        return v.where(F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", bad), F.lit(False))).select("id", F.size("v").alias("dim"), F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
+        return v.where(F.coalesce(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", bad), F.lit(False))).select("id", F.size("v").alias("dim"), F.transform("v", whole).alias("v"))
 
     rows, asked = usable(vectors), usable(queries).dropDuplicates(["id"])
     n, m = rows.count(), asked.count()
@@ -163,11 +189,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 20, scale: float =
         (ids, x), (q_ids, y) = matrix(c), matrix(q)
         if not len(ids) or not len(q_ids):
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
-        if np.abs(x).max() * np.abs(y).max() * x.shape[1] >= 2.0**53 or (x * x).sum(axis=1).max() + (y * y).sum(axis=1).max() >= 2.0**53:
-            raise ValueError("components are too large for exact scores")
-        best, names = MTree(ids, x).search(q_ids, y, k)
+        far, q_far = ((m * m).sum(axis=1) >= LONG for m in (x, y))
+        best, names = MTree(ids[~far], x[~far]).search(q_ids[~q_far], y[~q_far], k)
         there = best > -np.inf
-        return pa.table({"query_id": pa.array(np.repeat(q_ids, k)[there.ravel()]), "vec_id": pa.array(names[there]), "score": pa.array(best[there].astype(np.int64))})
+        if not far.any() and not q_far.any():
+            return pa.table({"query_id": pa.array(np.repeat(q_ids, k)[there.ravel()]), "vec_id": pa.array(names[there]), "score": pa.array(best[there].astype(np.int64))})
+        rest = highest(q_ids[~q_far], y[~q_far], ids[far], x[far], k)
+        merged = [sorted([(-int(v), int(n)) for v, n in zip(best[i][there[i]], names[i][there[i]])] + rest[i])[:k] for i in range(len(rest))]
+        merged += highest(q_ids[q_far], y[q_far], ids, x, k)
+        found = [(int(i), n, -v) for i, row in zip(np.concatenate([q_ids[~q_far], q_ids[q_far]]), merged) for v, n in row]
+        if any(not -(2**63) <= v < 2**63 for _, _, v in found):
+            raise ValueError("components are too large for exact scores")
+        return pa.table({name: pa.array([f[c] for f in found], pa.int64()) for c, name in enumerate(("query_id", "vec_id", "score"))})
 
     found = left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score long")
     order = "row_number() over (partition by query_id order by score desc, vec_id)"
