@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 import numpy as np
 
+from tidemark.llm import common
 from tidemark.llm.common import components, forest
 
 
@@ -40,3 +41,16 @@ def test_components_of_paths_stars_and_noise(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_spread_join_equals_a_left_join(spark):
+    """Heavy keys, null keys and keys without facts."""
+    from pyspark.sql import functions as F
+
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "key long, id long")
+    facts = df.where("key is not null and key <> 8").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    got = common.spread_join(df, facts, "key", weight="n", total=5000, spread=F.col("id"))
+    top = {k: max(i for x, i in rows if x == k) for k, _ in rows if k is not None and k != 8}
+    assert sorted(tuple(r) for r in got.where("key is not null").collect()) == sorted((k, i, top.get(k)) for k, i in rows if k is not None)
+    assert got.where("key is null and top is null").count() == sum(k is None for k, _ in rows)

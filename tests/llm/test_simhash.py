@@ -77,5 +77,11 @@ def test_null_ids_repeats_and_empty(make):
     rows = [(None, "same text here now"), (3, "same text here now"), (3, "same text here now"), (2, "another one of these")]
     got = simhash.near_duplicates(make(rows)).collect()
     assert len(got) == 4 and {r["component_id"] for r in got if r["doc_id"] == 3} == {3}
-    assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, None)]
+    assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)]
     assert simhash.near_duplicates(make([])).count() == 0
+
+
+def test_rows_of_one_id_with_unlike_texts_are_rows_of_their_own(make, words):
+    rows = [(2, words(1, 80)), (5, words(1, 80)), (5, words(2, 90)), (7, words(3, 70)), (7, words(4, 60)), (9, words(4, 60))]
+    got = simhash.near_duplicates(make(rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in got) == [(2, 2, True), (5, 2, False), (5, 5, True), (7, 7, True), (7, 7, True), (9, 7, False)]

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, slices
+from .common import arrow, byte_slices, column, slices
 
 #: Words that a worker remembers before it forgets all but those of its last batch.
 MEMORY_WORDS = 400_000
@@ -198,7 +198,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *(e[0] for e in extra)])
 
     schema = ", ".join([f"doc_id {kind}", "n_tokens long", "ids binary", *(f"{n} {k}" for n, k, _ in extra)])
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, schema)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -211,7 +211,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             raw = [None if x is None else bpe.decode(x) for x in column(batch, "ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(raw, pa.binary()), pa.array([None if x is None else x.decode("utf-8", "replace") for x in raw], pa.string())], names=["doc_id", "bytes", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, bytes binary, text string")
+    return arrow(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, bytes binary, text string")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Largest Arrow slice, in rows, that an operator works on at once.
 SLICE_ROWS = 2048
+#: Rows and bytes of an Arrow batch between the JVM and Python.
+BATCH_ROWS, BATCH_BYTES = 2048, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,13 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoints-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    """The folder that driver and executors share: spark.checkpoint.dir; where the session names none, one in the warehouse, which they share too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidemark-shared")
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -34,18 +37,54 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: lineage ends there, and lost executors cost no recomputation."""
+    """Write `df` to the shared folder and read it back: lineage ends there, and lost executors cost no recomputation.
+
+    The table stays as long as results may read it: until the application ends, or `release` is called.
+    """
     path = new_path(df.sparkSession, name)
+    _STAGED.append((df.sparkSession, path))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with batches bounded in rows and bytes, so that long texts don't meet in one batch of either process."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    if int(conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
+def filtered(docs: DataFrame, keep: Callable[[], Callable[[list[str]], list[bool]]], text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, as they are, whose texts (null: empty) pass.  `keep` makes the test, once a task; rows go through Python once."""
+
+    def run(batches):
+        passes = keep()
+        for batch in byte_slices(batches, text_col, 1 << 20):
+            yield batch.filter(pa.array(passes([t or "" for t in column(batch, text_col).to_pylist()]), pa.bool_()))
+
+    return arrow(docs, run, docs.schema)
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a table that is no longer read."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_STAGED: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def release() -> None:
+    """Delete all staged tables; results that still read them can't be computed any more."""
+    while _STAGED:
+        with contextlib.suppress(Exception):  # the session may be gone
+            drop(*_STAGED.pop())
+
+
 def remainder(key: Column, mod: int) -> Column:
     """crc32 of the key as text, modulo `mod`; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % mod
@@ -105,6 +144,25 @@ def tile_pairs(rows: DataFrame, size: Column, salt: Column, hot: int) -> DataFra
     return rows.withColumn("_tiles", tiles).withColumn("_mine", mine).withColumn("_p", F.explode(pair)).select("*", "_p.ti", "_p.tj", "_p.half").drop("_tiles", "_mine", "_p")
 
 
+#: A key with more than one in HEAVY of all rows is heavy, so there are fewer than HEAVY of them.
+HEAVY = 1000
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, *, weight: str, total: int, spread: Column) -> DataFrame:
+    """`rows` left-joined on `key` to `facts`, which has one row per key and in `weight` the rows of `rows` with that key.
+
+    Facts of heavy keys, fewer than HEAVY, are broadcast, and rows that need no further facts (theirs are known, or their
+    key is null) are dealt by `spread`, so no key's rows meet in one task.  `total` is the number of rows.
+    """
+    names = [c for c in facts.columns if c not in (key, weight)]
+    heavy = facts.where(F.col(weight) * HEAVY > total).select(F.col(key).alias("_hk"), F.struct(*names).alias("_hv"))
+    light = facts.where(F.col(weight) * HEAVY <= total).select(F.xxhash64(key).alias("_deal"), F.col(key).alias("_lk"), F.struct(*names).alias("_lv"))
+    known = rows.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left").withColumn("_deal", F.when(F.col("_hv").isNotNull() | F.col(key).isNull(), F.xxhash64(spread)).otherwise(F.xxhash64(key)))
+    left, right = known.alias("l"), light.alias("r")
+    met = left.join(right, (F.col("l._deal") == F.col("r._deal")) & (F.col(key) == F.col("_lk")) & F.col("_hv").isNull(), "left")
+    return met.select(*[F.col(f"l.{c}") for c in rows.columns], *[F.coalesce(F.col(f"_hv.{c}"), F.col(f"_lv.{c}")).alias(c) for c in names])
+
+
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Smallest index that each of n nodes reaches over the links left-right (min-label hooking with pointer jumping)."""
     root = np.arange(n)
@@ -128,12 +186,13 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     """Connected components of undirected links (src, dst: long) as (node, component), component being the smallest node.
 
     Alternating large-star and small-star steps; each round's links are a checkpointed table, so nothing about links or
-    components reaches the driver but a count and a checksum.  Nodes without links do not appear.
+    components reaches the driver but a count and a checksum.  Nodes without links do not appear.  The links of a hub are
+    spread over tasks (see `spread_join`).
     Self-links, null ends and repeated links are ignored; an empty table gives an empty result.
     """
 
-    def low(e: DataFrame) -> DataFrame:
-        return e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    def lowest(e: DataFrame, total: int) -> DataFrame:
+        return spread_join(e, e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n")), "u", weight="n", total=total, spread=F.col("v"))
 
     def measure(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -142,8 +201,8 @@ def components(edges: DataFrame, *, max_rounds: int = 60) -> DataFrame:
     seen = measure(now)
     for _ in range(max_rounds if seen[0] else 0):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(low(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        small = large.join(low(large), "u")
+        large = lowest(both, 2 * seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = lowest(large, seen[0])
         now = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct().checkpoint()
         if (then := measure(now)) == seen:
             break

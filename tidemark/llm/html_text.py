@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, slices
+from .common import arrow, column, slices
 
 #: Lines in a window; characters that mark a surge.
 WINDOW, SURGE = 3, 86
@@ -233,4 +233,4 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
             yield pa.RecordBatch.from_arrays([column(batch, "page_id"), column(batch, "url"), pa.array(got, pa.string()), pa.array([len(t) for t in got], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return rows.mapInArrow(run, f"page_id {kinds[id_col]}, url {kinds[url_col]}, text string, n_chars long")
+    return arrow(rows, run, f"page_id {kinds[id_col]}, url {kinds[url_col]}, text string, n_chars long")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import LETTER_MARK, WordMemory, byte_characters, encode_words
-from .common import byte_slices, column, drop, new_path, slices
+from .common import arrow, byte_slices, column, drop, new_path, slices
 
 #: The longest code; ids between two checkpoints; ids from which a block is full.
 MAX_BITS, EVERY, BLOCK_IDS = 16, 256, 1 << 20
@@ -110,7 +110,7 @@ def token_ids(docs: DataFrame, path: str, *, end_id: int | None = 1, id_col: str
         if counts:
             yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([seen.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary" + ", counts binary" * counts)
+    return arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, ids binary" + ", counts binary" * counts)
 
 
 def sum_counts(counted: DataFrame, size: int) -> np.ndarray:
@@ -125,7 +125,7 @@ def sum_counts(counted: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.int64())], names=["id", "n"])
 
     counts = np.zeros(size, np.int64)
-    for row in counted.select("counts").where("counts is not null").mapInArrow(add, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
+    for row in arrow(counted.select("counts").where("counts is not null"), add, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[row["id"]] = row["n"]
     return counts
 
@@ -268,9 +268,9 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
             yield close()
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    coded_docs = ids.mapInArrow(code, "doc_id long, n long, bits binary, points binary").withColumn("tie", F.xxhash64("bits"))
+    coded_docs = arrow(ids, code, "doc_id long, n long, bits binary, points binary").withColumn("tie", F.xxhash64("bits"))
     ordered = coded_docs.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
-    ordered.mapInArrow(block, "part int, block int, first long, doc_ids array<long>, n_tokens array<long>, points binary, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
+    arrow(ordered, block, "part int, block int, first long, doc_ids array<long>, n_tokens array<long>, points binary, payload binary").write.option("compression", "none").parquet(f"{path}/blocks")
     drop(spark, kept)
 
 
@@ -302,4 +302,4 @@ def read(spark: SparkSession, path: str, *, max_bits: int = MAX_BITS, every: int
             yield pa.RecordBatch.from_arrays([pa.array(row["doc_ids"], pa.int64()), pa.array(ends - n + row["first"] + row["before"], pa.int64()), pa.array(n, pa.int64()), out], names=["doc_id", "start", "n_tokens", kind.split()[0]])
 
     joined = blocks.join(F.broadcast(before), "part").select("first", "before", "doc_ids", "n_tokens", "points", "payload")
-    return joined.mapInArrow(run, f"doc_id long, start long, n_tokens long, {kind}")
+    return arrow(joined, run, f"doc_id long, start long, n_tokens long, {kind}")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, remainder, slices
+from .common import arrow, byte_slices, column, filtered, remainder, slices
 
 #: Bytes of a segment; hashed cells of n-grams; segments scored at once.
 SEGMENT, CELLS, BATCH = 512, 1 << 14, 128
@@ -176,7 +176,7 @@ def fit(docs: DataFrame, *, per_language: int = PER_LANGUAGE, per_document: int
             found = [(s, lang, t) for t, lang in zip(column(batch, "text").to_pylist(), column(batch, "lang").to_pylist()) for s in pick(t, per_document)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.string())], names=["segment", "lang"])
 
-    found = rows.mapInArrow(picked, "segment binary, lang string").distinct().collect()  # at most per_document x per_language x languages, the latter two `documents` or FEW a language
+    found = arrow(rows, picked, "segment binary, lang string").distinct().collect()  # at most per_document x per_language x languages, the latter two `documents` or FEW a language
     found.sort(key=lambda r: (r["lang"], bytes(r["segment"])))
     return Classifier([bytes(r["segment"]) for r in found], [r["lang"] for r in found], **options)
 
@@ -186,11 +186,30 @@ def identify(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text
     kind = {c.name: c.dataType.simpleString() for c in docs.schema}[id_col]
 
     def run(batches):
-        for batch in slices(batches, 256):
+        for batch in byte_slices(batches, "text", 1 << 20):
             langs, scores = model.predict(column(batch, "text").to_pylist())
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return arrow(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Classifier, *, floor: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, as they are, with letters in their texts and a language told with a confidence of `floor` or more.
+
+    Confidence is how far the score lies above that of a guess, as a part of how far it could: 0 where all languages
+    score alike, 1 where one is sure, whatever their number.  A model without languages accepts all texts with letters.
+    """
+    count = len(model.langs)
+
+    def keep():
+        def passes(texts):
+            if count < 2:
+                return [bool(_LETTER.search(t)) for t in texts]
+            return [lang != UNKNOWN and (score * count - 1) / (count - 1) >= floor for lang, score in zip(*model.predict(texts))]
+
+        return passes
+
+    return filtered(docs, keep, text_col)
 
 
 def classify(docs: DataFrame, *, folds: int = 4, held_fold: int = 2, **options) -> DataFrame:

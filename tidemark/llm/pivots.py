@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, components, forest, slices, staged, tile_pairs, whole_groups
+from .common import arrow, column, components, forest, slices, staged, tile_pairs, whole_groups
 
 #: The pivots come from so many rows, those of the smallest hash, and are less alike than SPREAD.
 SAMPLE, SPREAD = 8192, 0.7
@@ -92,8 +92,8 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
                 out = pa.RecordBatch.from_arrays(cols, names=["dim", "key", "last", "rep", "copies", "near", "vec"])
                 yield from slices([out], 4096)
 
-    listed = distinct.mapInArrow(index, "dim int, key long, last int, rep long, copies long, near binary, vec binary")
-    lengths = distinct.mapInArrow(lambda b: (x.select(["dim", "key"]) for x in index(b)), "dim int, key long").groupBy("dim", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    listed = arrow(distinct, index, "dim int, key long, last int, rep long, copies long, near binary, vec binary")
+    lengths = arrow(distinct, lambda b: (x.select(["dim", "key"]) for x in index(b)), "dim int, key long").groupBy("dim", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     lengths = staged(lengths, "pivot-lists")
     met = listed.join(lengths, ["dim", "key"])
     cool = met.where(F.col("n") <= hot).select("*", F.lit(0).alias("ti"), F.lit(0).alias("tj"), F.lit(2).alias("half")).drop("n")
@@ -140,7 +140,7 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
             kind = np.concatenate([np.zeros(int((sums > 0).sum()), np.int32), np.ones(len(a), np.int32)])
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([some[sums > 0], a])), pa.array(np.concatenate([sums[sums > 0], b]))], names=["kind", "a", "b"])
 
-    found = staged(cool.unionByName(warm).repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(verify, "kind int, a long, b long"), "vector-links")
+    found = staged(arrow(cool.unionByName(warm).repartition(parts, *keys).sortWithinPartitions(*keys), verify, "kind int, a long, b long"), "vector-links")
     near = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("near"))
     root = components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     classes = distinct.join(near, "rep", "left").join(root.withColumnRenamed("node", "rep"), "rep", "left")

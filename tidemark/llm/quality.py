@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, remainder, slices, staged
+from .common import arrow, column, remainder, slices, staged
 
 NAMES = ("words", "word_bytes", "word_spread", "distinct", "repeats", "commonest", "upper", "digits", "marks", "symbols", "bars", "exclaims", "stops", "lines", "distinct_lines", "caps_words", "two_words")
 _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digits": b"0123456789", "marks": b",;:'\"()-", "symbols": b"#$%&*@^~+=<>/\\{}[]_", "bars": b"|", "exclaims": b"!?", "stops": b"."}
@@ -86,7 +86,7 @@ def measure(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
             values = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, len(NAMES)), pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), values], names=["doc_id", "x"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, x array<double>")
+    return arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, "doc_id long, x array<double>")
 
 
 def fit(measured: DataFrame, labels: DataFrame, *, label_col: str = "quality", **options) -> Discriminant:
@@ -105,7 +105,7 @@ def fit(measured: DataFrame, labels: DataFrame, *, label_col: str = "quality", *
                 q[c] += own.T @ own
         yield pa.RecordBatch.from_arrays([pa.array([0, 1], pa.int32()), pa.array([np.concatenate([[n[c]], s[c], q[c].ravel()]) for c in (0, 1)], pa.list_(pa.float64()))], names=["y", "m"])
 
-    parts = measured.join(known, "doc_id").select("x", "y").mapInArrow(moments, "y int, m array<double>")
+    parts = arrow(measured.join(known, "doc_id").select("x", "y"), moments, "y int, m array<double>")
     sums = parts.select("y", F.posexplode("m").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
     total = np.zeros((2, 1 + d + d * d))
     for row in sums.collect():
@@ -129,5 +129,5 @@ def classify(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality",
             score = model.score(column(batch, "x").flatten().to_numpy().reshape(-1, len(NAMES)))
             yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(score)], names=["doc_id", "score"])
 
-    scored = measured.mapInArrow(run, "doc_id long, score double")
+    scored = arrow(measured, run, "doc_id long, score double")
     return scored.select("doc_id", (remainder(F.col("doc_id"), folds) == held_fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -59,26 +59,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-#: Earliest deadline first over one period, slot by slot, then every block's slot by arithmetic.
+#: Earliest deadline first, block by block; exact weights as whole units of a sum of about 2^44.
 _OP1 = """
 WITH RECURSIVE s AS (SELECT coalesce(source, '') AS source, count(*) AS n FROM documents GROUP BY 1),
-u AS (SELECT source, greatest(1, CAST(round(sqrt(n) * 1000 / (SELECT sum(sqrt(n)) FROM s)) AS BIGINT)) AS units FROM s),
-a AS (SELECT list(units ORDER BY source) AS us, list(source ORDER BY source) AS names, CAST(sum(units) AS BIGINT) AS p FROM u),
+z AS (SELECT CAST(greatest(64, (sum(n) + 65535) // 65536) AS BIGINT) AS size FROM s),
+l AS (SELECT list(source ORDER BY source) AS names, list(sqrt(n) ORDER BY source) AS ws, list(CAST((n + size - 1) // size AS BIGINT) ORDER BY source) AS nb FROM s, z),
+u AS (SELECT *, list_transform(ws, lambda x: greatest(1, CAST(round(x * 17592186044416 / list_sum(ws)) AS BIGINT))) AS us FROM l),
+a AS (SELECT *, CAST(list_sum(us) AS BIGINT) AS p, CAST(list_sum(nb) AS BIGINT) AS total FROM u),
 edf AS (
-  SELECT CAST(-1 AS BIGINT) AS t, list_transform(us, lambda x: CAST(0 AS BIGINT)) AS nx, CAST(0 AS BIGINT) AS pick FROM a
+  SELECT CAST(0 AS BIGINT) AS step, CAST(-1 AS BIGINT) AS t, list_transform(us, lambda x: CAST(0 AS BIGINT)) AS nx, CAST(0 AS BIGINT) AS pick FROM a
   UNION ALL
-  SELECT t + 1, list_transform(nx, lambda x, i: CASE WHEN i = best THEN x + 1 ELSE x END), best FROM (
-    SELECT t, nx, list_sort(list_filter(list_transform(us, lambda x, i: CASE WHEN nx[i] < x AND (nx[i] * p) // x <= t + 1
-      THEN {'d': ((nx[i] + 1) * p + x - 1) // x, 'i': CAST(i AS BIGINT)} END), lambda c: c IS NOT NULL))[1].i AS best
-    FROM edf, a WHERE t + 1 < p) step),
-cycle AS (SELECT names[pick] AS source, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM edf, a WHERE pick > 0),
-d AS (SELECT doc_id, coalesce(source, '') AS source, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS i FROM documents),
-b AS (SELECT d.doc_id, d.source, d.i // 64 AS block, d.i % 64 AS place, u.units, a.p FROM d JOIN u USING (source), a)
-SELECT b.doc_id, b.source, b.block, b.place,
-  (b.block // units) * p + ((b.block % units) * p) // units AS release,
-  (b.block // units) * p + ((b.block % units + 1) * p + units - 1) // units AS deadline,
-  (b.block // units) * p + c.slot AS slot
-FROM b JOIN cycle c ON c.source = b.source AND c.k = b.block % units
+  SELECT step + 1, now, list_transform(nx, lambda x, i: CASE WHEN i = best THEN x + 1 ELSE x END), best FROM (
+    SELECT step, now, nx, list_sort(list_filter(list_transform(us, lambda x, i: CASE WHEN nx[i] < nb[i] AND (nx[i] * p) // x <= now
+      THEN {'d': least(((nx[i] + 1) * p + x - 1) // x, 4398046511104), 'i': CAST(i AS BIGINT)} END), lambda c: c IS NOT NULL))[1].i AS best
+    FROM (SELECT step, nx, us, nb, p, greatest(t + 1, list_min(list_transform(us, lambda x, i: CASE WHEN nx[i] < nb[i] THEN (nx[i] * p) // x END))) AS now
+      FROM edf, a WHERE step < total) due) picked),
+cycle AS (SELECT names[pick] AS source, us[pick] AS units, p, t AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM edf, a WHERE pick > 0),
+d AS (SELECT doc_id, coalesce(source, '') AS source, row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS i FROM documents)
+SELECT d.doc_id, d.source, d.i // size AS block, d.i % size AS place, (k * p) // units AS release, ((k + 1) * p + units - 1) // units AS deadline, slot
+FROM d, z JOIN cycle c ON c.source = d.source AND c.k = d.i // z.size
 """
 
 #: The distance of whole integer vectors from each query, ranked.

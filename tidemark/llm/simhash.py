@@ -16,10 +16,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, components, forest, slices, staged, tile_pairs, whole_groups
+from .common import arrow, byte_slices, column, components, forest, spread_join, staged, tile_pairs, whole_groups
 
 BITS = 64
 
@@ -38,18 +38,23 @@ def fingerprint(text: str, *, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(id, fp): the fingerprint of each whole text as a signed long.
+    """(doc_id, tie, fp): the fingerprint of each whole text as a signed long; `tie` is a hash of the text.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space, shingles of `shingle` words are joined by a
     space, repeats count; a text of fewer words is one shingle.  A null, empty or blank text gives fingerprint zero.
     """
 
     def run(batches):
-        for batch in slices(batches):
+        for batch in byte_slices(batches, "text"):
             fps = np.array([fingerprint(t or "", shingle=shingle, seed=seed) for t in column(batch, "text").to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "tie"), pa.array(fps, pa.int64())], names=["doc_id", "tie", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return arrow(docs.select(F.col(id_col).cast("long").alias("doc_id"), tie(text_col).alias("tie"), F.col(text_col).alias("text")), run, "doc_id long, tie long, fp long")
+
+
+def tie(text_col: str = "text") -> Column:
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def _parts(width: int, n: int) -> list[tuple[int, int]]:
@@ -133,25 +138,32 @@ def links(distinct: DataFrame, *, radius: int = 3, hot: int = 4096) -> DataFrame
 
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     grouped = cool.unionByName(warm).repartition(n, *keys).sortWithinPartitions(*keys)
-    return grouped.mapInArrow(compare, "a long, b long")
+    return arrow(grouped, compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42, radius: int = 3, hot: int = 4096) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id, kept: documents whose fingerprints link at `radius` or fewer bits.
+    """doc_id, fingerprint (hex), component_id, kept, tie: documents whose fingerprints link at `radius` or fewer bits.
 
-    component_id is the smallest doc_id reachable.  Null and empty texts have fingerprint zero and link like any other;
-    rows that repeat a doc_id each come back; rows whose doc_id is null link with nothing and have a null component.
-    Copies collapse to one fingerprint before anything is compared.
+    component_id is the smallest doc_id reachable.  Null and empty texts have fingerprint zero and link like any other.
+    Of each component one row is kept: that of the smallest doc_id, of several with that id the one of the smallest hash
+    of its text (`tie`); rows that repeat both each come back as kept.  Rows whose doc_id is null link with nothing, have a
+    null component and are kept.  Copies collapse to one fingerprint before anything is compared; links are between
+    fingerprints, so rows of one doc_id with unlike texts don't tie their components together.
     """
     found = staged(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed), "simhash")
-    groups = staged(found.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
-    linked = links(groups.select("fp"), radius=radius, hot=hot)
-    near = linked.join(groups.select(F.col("fp").alias("a"), F.col("rep").alias("src")), "a").join(groups.select(F.col("fp").alias("b"), F.col("rep").alias("dst")), "b").select("src", "dst")
-    root = components(near)
-    classes = groups.join(root, groups["rep"] == root["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return found.join(classes, "fp", "left").select(
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "tie"))
+    groups = staged(found.groupBy("fp").agg(F.min(named).alias("first"), F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("n")), "simhash-distinct")
+    root = staged(components(links(groups.where("named > 0").select("fp"), radius=radius, hot=hot).toDF("src", "dst")), "simhash-components")
+    linked = groups.join(root, groups["fp"] == root["node"]).select("fp", "first", "component", "n")
+    heads = linked.groupBy("component").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("n"))
+    joined = spread_join(linked.select("fp", "component", F.col("n").alias("rows")), heads, "component", weight="n", total=root.count(), spread=F.col("fp"))
+    classes = groups.select("fp", "first", "n").join(joined.select(F.col("fp").alias("_fp"), "head"), F.col("fp") == F.col("_fp"), "left").select("fp", "n", F.coalesce("head", "first").alias("head"))
+    every = spread_join(found, classes, "fp", weight="n", total=found.count(), spread=F.coalesce("doc_id", "tie"))
+    known = F.col("doc_id").isNotNull()
+    return every.select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
-        (F.col("doc_id") == F.col("component_id")).alias("kept"),
+        F.when(known, F.col("head.doc_id")).alias("component_id"),
+        (~known | (F.struct("doc_id", "tie") == F.col("head"))).alias("kept"),
+        "tie",
     )

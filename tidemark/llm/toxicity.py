@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, remainder, slices, staged
+from .common import arrow, byte_slices, column, filtered, remainder, slices, staged
 
 #: General insults and their weights before anything is learned.
 BASE = {w: 3.0 for w in "idiot idiots moron morons stupid imbecile dumbass loser losers scum trash garbage pathetic worthless disgusting clown clowns bastard bastards asshole assholes bitch bitches crap shit shitty fuck fucker fucking whore slut retard retarded scumbag degenerate vermin subhuman".split()}
@@ -87,6 +87,11 @@ class Lexicon:
         if shown:
             self.machine.make_automaton()
 
+    def maker(self):
+        """A function that makes this lexicon again where it is called; automata don't travel."""
+        cls, entries, exceptions, curve = type(self), self.entries, self.exceptions, {"slope": self.slope, "intercept": self.intercept}
+        return lambda: cls(entries, exceptions, **curve)
+
     def matches(self, text: str) -> list[tuple[int, int, float]]:
         """(start, end, weight) of what counts; of matches that begin alike the heaviest counts."""
         if not len(self.machine):
@@ -178,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
 
     # Copies and near copies teach once: of rows of one signature the smallest doc_id stays.
     kind = {c.name: c.dataType.simpleString() for c in docs.schema}[id_col]
-    marked = taught.select("doc_id", "text", "y").mapInArrow(mark, f"doc_id {kind}, text string, y int, sig long")
+    marked = arrow(taught.select("doc_id", "text", "y"), mark, f"doc_id {kind}, text string, y int, sig long")
     taught = staged(marked.groupBy("y", "sig").agg(F.min_by("text", "doc_id").alias("text")).select("text", "y"), "taught")
 
     sizes = {r["y"]: r["n"] for r in taught.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -205,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
                 yield flush()
         yield flush()
 
-    counted = taught.mapInArrow(count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    counted = arrow(taught, count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     rare = (F.col("t") >= max(support, SHARE * toxic)) & (F.col("c") * toxic <= F.col("t") * (RATE * clean))
     counts = {r["entry"]: (r["t"], r["c"]) for r in counted.where(rare).orderBy(F.desc("t"), "entry").limit(16 * ENTRIES).collect()}
     draft = Lexicon(choose([(e, t, c) for e, (t, c) in counts.items()], toxic, clean, support=support), exceptions)
@@ -214,29 +219,36 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
         for batch in slices(batches, 256):
             yield pa.RecordBatch.from_arrays([pa.array([float(np.log1p(draft.density(t))) for t in column(batch, "text").to_pylist()], pa.float64()), column(batch, "y")], names=["x", "y"])
 
-    seen = taught.mapInArrow(densities, "x double, y int").groupBy(F.round("x", 2).alias("x"), "y").agg(F.count(F.lit(1)).alias("n")).orderBy("x", "y").collect()  # as many as the densities' hundredths
+    seen = arrow(taught, densities, "x double, y int").groupBy(F.round("x", 2).alias("x"), "y").agg(F.count(F.lit(1)).alias("n")).orderBy("x", "y").collect()  # as many as the densities' hundredths
     x, y = (np.repeat([r[k] for r in seen], [r["n"] for r in seen]) for k in ("x", "y"))
     slope, intercept = _calibrate(x.astype(float), y.astype(float))
     return Lexicon(draft.entries, exceptions, slope=slope, intercept=intercept)
 
 
-def score(docs: DataFrame, lexicon: Lexicon, *, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id, score, predicted for every whole text (null: as empty); with `keep` also all columns of `docs`, in a struct `row`."""
+def score(docs: DataFrame, lexicon: Lexicon, *, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, score, predicted for every whole text (null: as empty)."""
     kinds = {c.name: c.dataType.simpleString() for c in docs.schema}
-    state = (lexicon.entries, lexicon.exceptions, lexicon.slope, lexicon.intercept)
+    make = lexicon.maker()
 
     def run(batches):
-        own = Lexicon(state[0], state[1], slope=state[2], intercept=state[3])
-        for batch in slices(batches, 512):
+        own = make()
+        for batch in byte_slices(batches, "text"):
             got = [own.score(t or "") for t in column(batch, "text").to_pylist()]
-            cols, names = [column(batch, "doc_id"), pa.array(got, pa.float64())], ["doc_id", "score"]
-            if keep:
-                cols, names = [*cols, column(batch, "row")], [*names, "row"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    out = [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *([F.struct(*docs.columns).alias("row")] if keep else [])]
-    schema = f"doc_id {kinds[id_col]}, score double" + (f", row {docs.select(F.struct(*docs.columns).alias('row')).schema['row'].dataType.simpleString()}" if keep else "")
-    return docs.select(*out).mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array(got, pa.float64())], names=["doc_id", "score"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return arrow(rows, run, f"doc_id {kinds[id_col]}, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accepted(docs: DataFrame, lexicon: Lexicon, *, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, as they are, whose whole texts score under `threshold` (null: as empty)."""
+    make = lexicon.maker()
+
+    def keep():
+        own = make()
+        return lambda texts: [own.score(t) < threshold for t in texts]
+
+    return filtered(docs, keep, text_col)
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_fold: int = 2, threshold: float = 0.3, **options) -> DataFrame:
