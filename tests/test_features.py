@@ -222,3 +222,84 @@ def test_hurst_known_answer(spark):
         c.append(c[-1] * math.exp(x))
     got = compute(spark, closes(c), ["mr_hurst_proxy_8"], registry=r)["mr_hurst_proxy_8"]
     assert got[:8] == [None] * 8 and abs(got[8] - 0.2785946451494484) <= 1e-12
+
+
+def std(x):
+    m = math.fsum(x) / len(x)
+    return math.sqrt(math.fsum((y - m) ** 2 for y in x) / (len(x) - 1))
+
+
+def relative(a, b, tol=1e-10):
+    assert [x is None for x in a] == [x is None for x in b]
+    assert max(abs(x - y) / max(abs(y), 1e-300) if x != y else 0.0 for x, y in zip(a, b) if x is not None) < tol
+
+
+def test_nothing_is_lost_after_a_jump(spark):
+    """One return of 0.5 among returns of about 1e-4 (smaller ones are lost in the digits of a logarithm): deviations,
+    correlations and slopes hold relative to plain loops."""
+    import random
+
+    r, price, c = random.Random(8), 100.0, []
+    for i in range(260):
+        price *= math.exp(0.5 if i == 90 else r.gauss(0, 1e-4))
+        c.append(price)
+    got = compute(spark, closes(c), ["vol_realized_12", "vol_realized_96", "mr_autocorr_lag1_24", "mom_slope_48", "mr_hurst_proxy_48"], block=4096)
+    lr = [None] + [math.log(b) - math.log(a) for a, b in zip(c, c[1:])]
+    for n in (12, 96):
+        relative(got[f"vol_realized_{n}"], [None] * n + [std(lr[i - n + 1 : i + 1]) for i in range(n, len(c))])
+
+    def corr(i, n=24):
+        a, b = lr[i - n + 1 : i + 1], lr[i - n : i]
+        ma, mb = math.fsum(a) / n, math.fsum(b) / n
+        return math.fsum((x - ma) * (y - mb) for x, y in zip(a, b)) / math.sqrt(math.fsum((x - ma) ** 2 for x in a) * math.fsum((y - mb) ** 2 for y in b))
+
+    near(got["mr_autocorr_lag1_24"], [None] * 25 + [corr(i) for i in range(25, len(c))])
+
+    def slope(i, n=48):
+        y = [math.log(v) for v in c[i - n + 1 : i + 1]]
+        return math.fsum((k - (n - 1) / 2) * (v - y[-1]) for k, v in enumerate(y)) / (n * (n * n - 1) / 12) * n / (abs(y[-1]) + 1e-8)
+
+    # Slopes of calm windows are as sure as the logarithms they come from: some 1e-15 on movements of 1e-4.
+    near(got["mom_slope_48"], [None] * 47 + [slope(i) for i in range(47, len(c))], 1e-12)
+
+
+def test_slope_far_into_a_series(spark):
+    """At an index of a million and a half the slope is what it is at the start."""
+    from tidemark.functions import Frame, momentum
+
+    df = series(spark, walk(200)).withColumn("_lnc", F.ln("close"))
+    order = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("timestamp_utc")) - 1
+    both = [[r["s"] for r in df.withColumn("_rn", order + at).select("timestamp_utc", momentum.slope(Frame(), 48).alias("s")).orderBy("timestamp_utc").collect()] for at in (0, 1_500_000)]
+    relative(both[1][47:], both[0][47:], 1e-10)
+    assert all(x is None for x in both[0][:47])
+
+
+def plain_stale_sum(gk, n):
+    """The running sum as tables made with it have it, value by value."""
+    out, total, lacks = [None] * len(gk), math.fsum(x for x in gk[: n - 1] if x is not None), None in gk[: n - 1]
+    for i in range(n - 1, len(gk)):
+        window, there = gk[i - n + 1 : i + 1], None not in gk[i - n + 1 : i + 1]
+        if i > n - 1 and not lacks and gk[i] is not None and window[0] is not None:
+            total += gk[i] - window[0]
+            out[i] = total / n
+        else:
+            out[i] = math.fsum(window) / n if there else None
+            lacks = lacks if i == n - 1 else not there
+    return out
+
+
+@pytest.mark.parametrize("gone", [(), (40,), (3,), (11,), (11, 15), (2, 11), (11, 22, 50, 51)])
+def test_legacy_garman_klass_equals_a_plain_loop(spark, gone):
+    from tidemark.functions import volatility
+
+    gk = [None if i in gone else 1e-4 * (1 + math.sin(i * 1.7)) for i in range(80)]
+    df = spark.createDataFrame([("s", START + timedelta(minutes=5 * i), i, x) for i, x in enumerate(gk)], "instrument string, timestamp_utc timestamp, _rn int, _gk double")
+    got = volatility.garman_klass_legacy(df, ("instrument",), (12,)).orderBy("timestamp_utc").collect()
+    near([r["_gk_legacy_12"] for r in got], plain_stale_sum(gk, 12), 1e-15)
+
+
+def test_legacy_mode_from_its_first_row(spark):
+    rows = walk(60)
+    got = compute(spark, rows, ["vol_gk_realized_12"], gk_mode="legacy")["vol_gk_realized_12"]
+    gk = [0.5 * (math.log(r[6]) - math.log(r[7])) ** 2 - (2 * math.log(2) - 1) * (math.log(r[8]) - math.log(r[5])) ** 2 for r in rows]
+    near(got, [None if v is None or v < 0 else math.sqrt(v) for v in plain_stale_sum(gk, 12)])

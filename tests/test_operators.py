@@ -106,7 +106,7 @@ def test_gap_registry_round_trip(spark, tmp_path):
     gaps.save(gaps.upsert(gaps.load(spark, path), found), path)
     gaps.save(gaps.upsert(gaps.load(spark, path), found), path)
     back = gaps.load(spark, path).collect()
-    assert len(back) == 1 and back[0]["missing_candles_count"] == 2 and back[0]["gap_id"] == "gap_x_1m_20240101000300_20240101000400"
+    assert len(back) == 1 and back[0]["missing_candles_count"] == 2 and back[0]["gap_id"] == "gap_x_1m_202401010003_202401010004"
     done = gaps.resolve(gaps.load(spark, path), back[0]["gap_id"], "filled")
     assert gaps.unresolved(done).count() == 0 and gaps.by_category(done).count() == 4
     with pytest.raises(ValueError):
@@ -185,6 +185,45 @@ def test_partitioned_tables_and_manifests(spark, tmp_path):
     assert "| 4h | 300 |" in report.markdown(back)
 
 
+def test_a_table_holds_many_series(spark, tmp_path):
+    path = str(tmp_path / "candles")
+    for name in ("AAA", "007", "A/B c"):
+        tables.write_candles(series(spark, [candle(START + timedelta(minutes=i), tf="1m", instrument=name) for i in range(30)]), path)
+    back = tables.read_candles(spark, path)
+    assert {r["instrument"]: r["count"] for r in back.groupBy("instrument").count().collect()} == {"AAA": 30, "007": 30, "A/B c": 30}
+    assert tables.partitions(spark, path).count() == 3
+
+
+def test_part_of_a_month_is_merged(spark, tmp_path):
+    path, rows = str(tmp_path / "candles"), [candle(START + timedelta(minutes=i), o=100 + i, tf="1m") for i in range(60)]
+    tables.merge_candles(series(spark, rows[:30]), path)
+    tables.merge_candles(series(spark, rows[20:]), path)
+    assert sorted(tuple(r) for r in tables.read_candles(spark, path).select("open").collect()) == [(100.0 + i,) for i in range(60)]
+    with pytest.raises(clean.OverlapConflict):
+        tables.merge_candles(series(spark, [candle(START, o=7, tf="1m")]), path)
+    assert tables.read_candles(spark, path).count() == 60 and [p.name for p in tmp_path.iterdir()] == ["candles"]
+
+
+def test_expansion_of_two_instruments_and_a_grown_month(spark, tmp_path):
+    path = str(tmp_path / "t")
+    raw = lambda name, n, skip=(): numbered(spark, [candle(START + timedelta(minutes=i), o=100 + i % 7, tf="1m", instrument=name) for i in range(n) if i not in skip])
+    count = lambda: {(r["instrument"], r["timeframe"]): r["count"] for r in tables.read_candles(spark, path).groupBy("instrument", "timeframe").count().collect()}
+    assert ingest.expand(spark, raw("AAA", 30), table=path).count() == 1
+    assert ingest.expand(spark, raw("BBB", 60, (7, 8)), table=path, gap_registry=str(tmp_path / "gaps")).count() == 1
+    assert count()["AAA", "1m"] == 30 and count()["BBB", "1m"] == 58 and count()["BBB", "1h"] == 1
+    assert ingest.expand(spark, raw("AAA", 30), table=path).count() == 0  # done: same raw rows, rows still there
+    assert ingest.expand(spark, raw("AAA", 600), table=path).count() == 1
+    assert count()["AAA", "1m"] == 600 and count()["AAA", "5m"] == 120 and count()["BBB", "1m"] == 58
+    told = {(r["instrument"], r["timeframe"]): r for r in ingest.manifests(spark, path).collect()}
+    assert {k: r["rows"] for k, r in told.items()} == count() and told["BBB", "1m"]["gaps"] == 1 and told["AAA", "1m"]["raw_rows"] == 600
+    root = json.loads((tmp_path / "t" / "_root_manifest.json").read_text())
+    assert root["rows"] == sum(count().values()) and root["status"] == "PASS" and root["timeframes"]["1m"]["rows"] == 658
+    tables.write_candles(raw("AAA", 10).drop("seq"), path)
+    assert ingest.expand(spark, raw("AAA", 600), table=path).count() == 1 and count()["AAA", "1m"] == 600  # rows had gone: done again
+    assert ingest.expand(spark, raw("AAA", 20), table=path, force=True).count() == 1 and count()["AAA", "1m"] == 20
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["gaps", "t"]
+
+
 def test_month_boundary_is_utc(spark):
     """A bar at 23:30 on the last day of a month stays in it, whatever the machine's zone."""
     rows = [candle(START.replace(month=1, day=31, hour=23, minute=30)), candle(START.replace(month=2, day=1))]
@@ -225,7 +264,7 @@ def test_config():
     assert config.substitute({"a": "${PORT}", "b": ["${FLAG}", "${NONE:-x}"]}, env) == {"a": 8080, "b": [True, "x"]}
     with pytest.raises(config.ConfigError):
         config.substitute("${NONE}", env)
-    assert config.mask({"api_key": "k", "n": {"password": 1, "ok": 2}}) == {"api_key": "***", "n": {"password": "***", "ok": 2}}
+    assert config.mask({"api_key": "k", "n": {"password": 1, "ok": 2}, "access_key": 1, "Authorization": 2}) == {"api_key": "***", "n": {"password": "***", "ok": 2}, "access_key": "***", "Authorization": "***"}
     assert config.fingerprint({"a": 1, "token": "x"}) == config.fingerprint({"token": "y", "a": 1})
 
 

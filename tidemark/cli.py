@@ -15,7 +15,7 @@ from .plans.engine import FeatureEngine, FeatureInput
 from .schema import RESAMPLED
 from .session import session
 from .sources import klines
-from .sources.candles import inspect_timeframes, read_candles, write_candles, write_features
+from .sources.candles import inspect_timeframes, merge_candles, read_candles, write_candles, write_features
 from .sources.provider import LandedProvider
 from .streaming.live import latency_metrics
 
@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.command == "acquire":
         rows = _read(spark, args.files, {"venue": args.venue, "instrument": args.instrument, "market_type": args.market_type, "timeframe": args.timeframe})
         told = validate.summary(validate.annotate(rows)).first()
-        write_candles(rows.drop("seq"), args.table)
+        merge_candles(rows.drop("seq"), args.table)
         if args.manifest:
             manifest.save(spark, manifest.candle_manifest(rows.drop("seq"), source="acquire", report={"is_valid": bool(told["is_valid"]), "issues": told["total_issues"]}), args.manifest)
         return int(not told["is_valid"])
@@ -110,7 +110,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         market = ingest.Market(args.venue, args.instrument, args.market_type)
         rows = ingest.backfill(spark, LandedProvider(args.source), market, args.start, args.end, landing=args.landing, limit=args.limit)
         told = validate.summary(validate.annotate(rows)).first()
-        write_candles(rows.drop("seq"), args.table)
+        merge_candles(rows.drop("seq"), args.table)
         print(json.dumps({"candles": told["total_records"], "gaps": told["gaps"], "is_valid": told["is_valid"]}))
         return int(not told["is_valid"])
     elif args.command == "probe":

@@ -71,7 +71,7 @@ class Frame:
     def last(self, total: str, n: int, skip: int = 0) -> Column:
         """Sum of the n values that end `skip` rows before the current one, as the difference of two running totals."""
         now = self.lag(F.col(total), skip) if skip else F.col(total)
-        return F.coalesce(now, F.lit(0)) - F.coalesce(self.lag(F.col(total), n + skip), F.lit(0))
+        return F.coalesce(now, F.lit(0)) - F.coalesce(self.lag(F.col(total), n + skip), F.lit(0))  # decimals stay exact
 
     def every(self, x: Column, n: int, value: Column) -> Column:
         """value where the last n values of x are there and not NULL."""

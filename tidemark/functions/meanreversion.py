@@ -40,5 +40,6 @@ def hurst_proxy(n: int) -> Column:
 def autocorrelation(f: Frame, n: int) -> Column:
     """Correlation of returns with those one bar before, over n pairs, all there; 0 where either doesn't vary."""
     a, b = squares(f, n), squares(f, n, 1)
-    both = f.last("_p_rb", n) - f.last("_p_r", n) * f.last("_p_r", n, 1) / n
+    total = lambda name, skip=0: f.last(name, n, skip).cast("double")
+    both = total("_p_rb") - total("_p_r") * total("_p_r", 1) / n
     return F.when(f.last("_k_rb", n) == n, F.when((a > 0) & (b > 0), clamp(both / F.sqrt(a * b), -1, 1)).otherwise(0.0))

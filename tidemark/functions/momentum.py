@@ -17,15 +17,12 @@ def rate_of_change(f: Frame, n: int) -> Column:
 def slope(f: Frame, n: int, log_close: str = "_lnc") -> Column:
     """Least-squares slope of ln C over the window, times n, over |ln C|; NULL if a price in the window isn't positive.
 
-    With equally spaced bars the slope is a sum of centred positions times values; positions come from the bar index.
+    Spark's slope works on deviations from the window's own means, so neither the bar's index nor the price level costs digits.
     """
     if n < 2:
         raise ValueError("a slope needs two bars")
-    y, k = F.col(log_close), f.rn.cast("double")
-    sxx = n * (n * n - 1) / 12.0
-    # Around the window's last value, so that the sums stay small.
-    raw = F.sum(k * y).over(f.w(n)) - (k - (n - 1) / 2.0) * F.sum(y).over(f.w(n))
-    return f.full(n, f.every(y, n, raw / sxx * n / (F.abs(y) + EPSILON)))
+    y = F.col(log_close)
+    return f.full(n, f.every(y, n, F.regr_slope(y, f.rn.cast("double")).over(f.w(n)) * n / (F.abs(y) + EPSILON)))
 
 
 def sma_deviation(f: Frame, n: int) -> Column:

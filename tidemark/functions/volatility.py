@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frame import Frame, clamp, positive, ratio
 
+#: What returns and their products are added up in.
+EXACT = "decimal(38,31)"
+
 
 def true_range(f: Frame, before: str = "_c1") -> Column:
     """From the second bar of a series."""
@@ -23,16 +26,17 @@ def atr_percent(f: Frame, atr: str) -> Column:
 def running_returns(f: Frame, returns: str = "_lr") -> dict[str, Column]:
     """Running totals that windows of log returns are cut from: their number, sum, squares, and products with the return before.
 
-    Log returns are small and centred, so differences of totals keep their digits; a window without movement has totals
-    that don't change at all, so zero stays exactly zero.
+    Totals are decimals, so adding and taking differences loses nothing: a window's sum is the same whatever came before it,
+    a large return or the start of a block, and a window without movement has sums of exactly zero.
     """
     r, before = F.col(returns), F.col(f"{returns}1")
-    return {"_k_r": f.running(r.isNotNull().cast("long")), "_p_r": f.running(r), "_p_rr": f.running(r * r), "_k_rb": f.running((r * before).isNotNull().cast("long")), "_p_rb": f.running(r * before)}
+    exact = lambda x: f.running(x.cast(EXACT))
+    return {"_k_r": f.running(r.isNotNull().cast("long")), "_p_r": exact(r), "_p_rr": exact(r * r), "_k_rb": f.running((r * before).isNotNull().cast("long")), "_p_rb": exact(r * before)}
 
 
 def squares(f: Frame, n: int, skip: int = 0) -> Column:
     """Sum of squared deviations of the n returns that end `skip` rows before; zero where rounding is all there is."""
-    s, ss = f.last("_p_r", n, skip), f.last("_p_rr", n, skip)
+    s, ss = f.last("_p_r", n, skip).cast("double"), f.last("_p_rr", n, skip).cast("double")
     around = ss - s * s / n
     return F.when(around > 1e-13 * ss, around).otherwise(0.0)
 
@@ -57,24 +61,37 @@ def _root(v: Column) -> Column:
 def garman_klass(f: Frame, n: int, bar: str = "_gk", mode: str = "window") -> Column:
     """Root of the mean Garman-Klass variance of n bars, all there.
 
-    `window` is the true n-bar mean.  `legacy` is for users of tables made with a known defect: from index n on, the sum
-    has the last n - 1 bars, plus the series' first bar, minus its bar n - 1; at index n - 1 it has the first n - 1 bars.
-    It needs the columns of `garman_klass_edges`, joined by series.
+    `window` is the true n-bar mean.  `legacy` is for users of tables made with known defects, and takes the mean from the
+    columns of `garman_klass_legacy`, joined by bar.
     """
     x = F.col(bar)
     if mode == "window":
         return f.full(n, f.every(x, n, _root(F.avg(x).over(f.w(n)))))
     if mode != "legacy":
         raise ValueError(f"unknown mode {mode!r}")
-    before = F.sum(x).over(f.o.rowsBetween(-(n - 1), -1))
-    total = F.when(f.rn == n - 1, before).otherwise(F.sum(x).over(f.w(n - 1)) + F.col("_gk_first") - F.col(f"_gk_edge_{n}"))
-    return f.full(n, f.every(x, n, _root(total / n)))
+    return _root(F.col(f"_gk_legacy_{n}"))
+
 
+def garman_klass_legacy(rows: DataFrame, keys: tuple[str, ...], lengths: tuple[int, ...], bar: str = "_gk", index: str = "_rn", ts: str = "timestamp_utc") -> DataFrame:
+    """Per bar, the means that a running sum with two defects gives: it drops the wrong bar, and goes stale.
 
-def garman_klass_edges(rows: DataFrame, keys: tuple[str, ...], lengths: tuple[int, ...], bar: str = "_gk", index: str = "_rn") -> DataFrame:
-    """One row per series: the variance of its first bar and of bar n - 1 for each length."""
-    at = lambda k, name: F.max(F.when(F.col(index) == k, F.col(bar))).alias(name)
-    return rows.groupBy(*keys).agg(at(0, "_gk_first"), *[at(n - 1, f"_gk_edge_{n}") for n in lengths])
+    The sum starts with the first n - 1 bars.  Bar n - 1 has its true mean.  From then on a bar adds its own value and takes
+    away the one n - 1 (not n) before, if both are there and the bar before was not found to lack any; else the bar has its
+    true mean, or none if its window lacks a value, and the sum stays as it was.  A value that lacks at bar n - 1 itself goes
+    unseen until it would be taken away.  As the sum depends on the whole past, a series is one task here, of narrow rows.
+    """
+    o = Window.partitionBy(*keys).orderBy(ts)
+    upto, x, rn = o.rowsBetween(Window.unboundedPreceding, 0), F.col(bar), F.col(index)
+    df = rows.select(*keys, ts, index, bar).withColumn("_lacks", x.isNull().cast("int")).withColumn("_before", F.sum("_lacks").over(upto))
+    for n in lengths:
+        window = o.rowsBetween(-(n - 1), 0)
+        df = df.withColumns({"_in": F.sum("_lacks").over(window), "_mean": F.avg(x).over(window), "_out": F.lag(x, n - 1).over(o), "_head": F.max(F.when(rn == n - 1, F.col("_lacks"))).over(upto), "_first": F.sum(F.when(rn < n - 1, F.coalesce(x, F.lit(0.0))).otherwise(0.0)).over(upto)})
+        unseen = (F.col("_head") == 1) & (rn < 2 * n - 2) & (F.col("_before") == 1)
+        found = F.when(rn == n - 1, F.col("_before") - F.col("_head") > 0).otherwise((F.col("_in") > 0) & ~unseen)
+        df = df.withColumn("_found", found).withColumn("_runs", (rn >= n) & x.isNotNull() & F.col("_out").isNotNull() & ~F.lag("_found").over(o))
+        total = F.col("_first") + F.sum(F.when(F.col("_runs"), x - F.col("_out")).otherwise(0.0)).over(upto)
+        df = df.withColumn(f"_gk_legacy_{n}", F.when(rn >= n - 1, F.when(F.col("_runs"), total / n).when(F.col("_in") == 0, F.col("_mean"))))
+    return df.select(*keys, ts, *[f"_gk_legacy_{n}" for n in lengths])
 
 
 def zscore(f: Frame, x: Column, n: int) -> Column:

@@ -8,22 +8,25 @@ from pyspark.sql import functions as F
 from ..schema import GAP_CATEGORIES, REGISTERED_GAP_SCHEMA
 
 
-def register(gaps: DataFrame, *, source: str, category: str = "PROVIDER_GAP", evidence: str = "", detected_at=None, step: int = 60) -> DataFrame:
-    """Registry rows for the validator's gaps (columns gap_start, gap_end, missing_candles and the series)."""
+def register(gaps: DataFrame, *, source: str, category: str = "PROVIDER_GAP", evidence: str = "", detected_at=None) -> DataFrame:
+    """Registry rows for the validator's gaps (columns gap_start, gap_end, missing_candles and the series).
+
+    Ids, ends and durations are those of existing registries: times to the minute, from the first missing candle to the
+    last, so a single missing candle lasts 0 seconds.
+    """
     if category not in GAP_CATEGORIES:
         raise ValueError(f"unknown category {category!r}")
-    stamp = lambda c: F.date_format(c, "yyyyMMddHHmmss")
-    after = F.timestamp_seconds(F.unix_seconds("gap_end") + step)
+    stamp = lambda c: F.date_format(c, "yyyyMMddHHmm")
     rows = gaps.select(
         F.concat_ws("_", F.lit("gap"), F.lower("instrument"), "timeframe", stamp(F.col("gap_start")), stamp(F.col("gap_end"))).alias("gap_id"),
         "instrument",
         "venue",
         "timeframe",
         F.col("gap_start").alias("expected_start_utc"),
-        after.alias("expected_end_utc"),
+        F.col("gap_end").alias("expected_end_utc"),
         F.col("gap_start").alias("actual_missing_start_utc"),
         F.col("gap_end").alias("actual_missing_end_utc"),
-        (F.col("missing_candles") * step).cast("int").alias("duration_seconds"),
+        (F.unix_seconds("gap_end") - F.unix_seconds("gap_start")).cast("int").alias("duration_seconds"),
         F.col("missing_candles").cast("int").alias("missing_candles_count"),
         (F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp")).alias("detected_at_utc"),
         F.lit(source).alias("acquisition_source"),

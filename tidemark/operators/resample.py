@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..clock import floor_to
@@ -16,7 +16,7 @@ _SERIES = ("venue", "instrument", "market_type")
 BITS = 63
 
 
-def bar_aggregates(ts: str = "timestamp_utc") -> list[Column]:
+def bar_aggregates(ts: str = "timestamp_utc") -> list[Column]:  # of one series no two candles have one time
     """First open, highest high, lowest low, last close, sums."""
     return [
         F.min_by("open", ts).alias("open"),
@@ -84,15 +84,18 @@ def _finished(bars: DataFrame, candles: DataFrame, base_seconds: int, distinct:
     return bars.join(reach, list(_SERIES)).withColumn("is_complete", done).withColumn("timestamp_utc", F.col("_bucket")).select(*CANDLE_COLUMNS)
 
 
-def candles_from_ticks(ticks: DataFrame, timeframe: str, *, venue: str, market_type: str = "spot", keys: tuple[str, ...] = ("instrument",)) -> DataFrame:
-    """Candles from ticks (instrument, ts, price, quantity, is_taker_buy); a bar is one of the buckets that have ticks."""
+def candles_from_ticks(ticks: DataFrame, timeframe: str, *, venue: str, market_type: str = "spot", keys: tuple[str, ...] = ("instrument",), order: str = "ts") -> DataFrame:
+    """Candles from ticks (instrument, ts, price, quantity, is_taker_buy); a bar is one of the buckets that have ticks.
+
+    Ticks are ordered by the column `order`: where several have one time, it should be their sequence number.
+    """
     quote = F.col("price") * F.col("quantity")
     taker = F.col("is_taker_buy")
     rows = ticks.groupBy(*keys, floor_to(F.col("ts"), seconds(timeframe)).alias("timestamp_utc")).agg(
-        F.min_by("price", "ts").alias("open"),
+        F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", "ts").alias("close"),
+        F.max_by("price", order).alias("close"),
         F.sum("quantity").cast("double").alias("volume"),
         F.sum(quote).alias("quote_volume"),
         F.count(F.lit(1)).alias("trade_count"),
@@ -100,9 +103,3 @@ def candles_from_ticks(ticks: DataFrame, timeframe: str, *, venue: str, market_t
         F.sum(F.when(taker, quote).otherwise(0.0)).alias("taker_buy_quote_volume"),
     )
     return rows.withColumns({"venue": F.lit(venue), "market_type": F.lit(market_type), "timeframe": F.lit(timeframe), "is_complete": F.lit(True)}).select(*CANDLE_COLUMNS)
-
-
-def latest_per_series(candles: DataFrame) -> DataFrame:
-    """The last candle of each series."""
-    last = Window.partitionBy("venue", "instrument", "market_type", "timeframe").orderBy(F.desc("timestamp_utc"))
-    return candles.withColumn("_r", F.row_number().over(last)).where("_r = 1").drop("_r")

@@ -13,6 +13,11 @@ def bars(seconds: int, name: str = "bars", *, per_type: bool = False) -> str:
 {more_bars(seconds, name)}"""
 
 
+#: CTE `ticks`: one every 20 seconds by order key.
+ORDER_TICKS = """ticks AS (SELECT 'ORD' AS inst, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(20 * o_orderkey) AS ts, 100.0::DOUBLE + (cents % 5000) / 100.0::DOUBLE AS price, cents % 50 + 1 AS q, cents % 3 = 0 AS tb
+  FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders))"""
+
+
 def more_bars(seconds: int, name: str) -> str:
     return f"""{name} AS (SELECT *, row_number() OVER (PARTITION BY inst ORDER BY ts) - 1 AS rn FROM (
   SELECT inst, time_bucket(INTERVAL '{seconds} seconds', ts) AS ts, arg_min(price, ts) AS o, max(price) AS h, min(price) AS l, arg_max(price, ts) AS c,
@@ -115,7 +120,17 @@ def momentum() -> dict[str, str]:
     return out
 
 
-def volatility(legacy: bool = False) -> dict[str, str]:
+def stale_sum(n: int) -> str:
+    """CTEs: `gl{n}`, the mean of a running sum with two defects, step by step: the sum, whether a value was found to lack, the mean."""
+    return f"""gi{n} AS (SELECT inst, rn, gk, lag(gk, {n - 1}) OVER {{0}} AS gone, count(gk) OVER {w(n)} AS there, avg(gk) OVER {w(n)} AS mean, sum(gk) OVER {w(n - 1, 1)} AS start, count(gk) OVER {w(n - 1, 1)} AS early FROM s),
+gl{n} AS (SELECT inst, rn, coalesce(start, 0.0) AS total, early < {n - 1} AS lacks, CASE WHEN there = {n} THEN mean END AS raw FROM gi{n} WHERE rn = {n - 1}
+  UNION ALL SELECT i.inst, i.rn, CASE WHEN i.gk IS NOT NULL AND i.gone IS NOT NULL AND NOT p.lacks THEN p.total + (i.gk - i.gone) ELSE p.total END,
+    CASE WHEN i.gk IS NOT NULL AND i.gone IS NOT NULL AND NOT p.lacks THEN false ELSE i.there < {n} END,
+    CASE WHEN i.gk IS NOT NULL AND i.gone IS NOT NULL AND NOT p.lacks THEN (p.total + (i.gk - i.gone)) / {n} WHEN i.there = {n} THEN i.mean END
+  FROM gl{n} p JOIN gi{n} i ON i.inst = p.inst AND i.rn = p.rn + 1)""".replace("{0}", "(PARTITION BY inst ORDER BY ts)")
+
+
+def volatility() -> dict[str, str]:
     out = {}
     for n in (14, 28):
         out[f"vol_atr_{n}"] = f"a{n}"
@@ -124,9 +139,6 @@ def volatility(legacy: bool = False) -> dict[str, str]:
         out[f"vol_realized_{n}"] = allthere("lr", n, over("stddev_samp", "lr", n))
     for n in (12, 24):
         mean = over("avg", "gk", n)
-        if legacy:
-            sums = f"(CASE WHEN rn = {n - 1} THEN sum(gk) OVER {w(n - 1, 1)} ELSE sum(gk) OVER {w(n - 1)} + first(gk) OVER (PARTITION BY inst ORDER BY ts) - max(CASE WHEN rn = {n - 1} THEN gk END) OVER (PARTITION BY inst ORDER BY ts) END)"
-            mean = f"({sums} / {n})"
         out[f"vol_gk_realized_{n}"] = full(n, allthere("gk", n, f"CASE WHEN {mean} >= 0 THEN sqrt({mean}) WHEN abs({mean}) <= 1e-12 THEN 0.0 END"))
     out["vol_zscore_12_96"] = z("vr12", 96)
     return out

@@ -105,7 +105,8 @@ class FeatureEngine:
         rows, f = self._framed(bars, keys)
         rows = multitimeframe.with_base(rows, f).withColumn("_step", F.unix_seconds("timestamp_utc") - F.unix_seconds(F.lag("timestamp_utc").over(f.o)))
         if self.gk_mode == "legacy":
-            rows = rows.join(volatility.garman_klass_edges(rows, keys, (12, 24)), list(keys))
+            narrow = index_bars(bars.select(*keys, "timestamp_utc", "open", "high", "low", "close"), keys).withColumn("_gk", volatility.garman_klass_bar(Frame(keys)))
+            rows = rows.join(volatility.garman_klass_legacy(narrow, keys, (12, 24)), [*keys, "timestamp_utc"])
         first, then = self._hurst(registry, f)
         rows = rows.withColumns(self._values(registry, f, 1) | first | {"_gap_at": F.max(F.when(F.col("_step") > self.clock.primary, F.col("_rn"))).over(f.o.rowsBetween(Window.unboundedPreceding, 0))}).withColumns(then)
         rows = recursive.apply(rows, f, FILTERS, length=self.length).withColumn("_line", F.col("_ema12") - F.col("_ema26"))

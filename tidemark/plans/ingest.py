@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, gaps, validate
 from ..operators.resample import resample_all
-from ..schema import CANDLE_COLUMNS, seconds
+from ..schema import CANDLE_COLUMNS, CANDLE_SCHEMA, SERIES
 from ..sources import klines
-from ..sources.candles import partitions, write_candles
+from ..sources.candles import content_hash, partitions, read_candles, write_candles
+from ..sources.files import delete, exists, replace, write_text
 from ..sources.provider import DataProvider, with_retry
 from . import calendar
 
@@ -87,27 +89,74 @@ def backfill(spark: SparkSession, provider: DataProvider, market: Market, start:
     return clean.drop_exact_duplicates(ordered, seq="seq")
 
 
+#: A row of the partition manifests of a table: what was expanded, from what, and what was written.
+MANIFEST = ", ".join(f"{c} string" for c in SERIES) + ", year int, month int, raw_rows long, raw_hash string, rows long, hash string, first_time timestamp, last_time timestamp, gaps long, issues long, status string"
+
+
+def manifests(spark: SparkSession, table: str) -> DataFrame:
+    """Partition manifests that `expand` has left with a table; none if there aren't any."""
+    path = f"{table.rstrip('/')}/_manifests"
+    return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
+
+
 def expand(spark: SparkSession, raw: DataFrame, *, table: str, gap_registry: str | None = None, start: str | None = None, end: str | None = None, force: bool = False, source: str = "archive") -> DataFrame:
-    """One job over all months: bounds, last writer per time, validation, gaps, one-minute candles and five higher timeframes.
+    """One job over all months of all series: bounds, last writer per time, validation, gaps, one-minute candles and five higher timeframes.
 
-    `raw` are candles with `seq`.  Months that the table has already are skipped unless `force`d; months are replaced
-    whole, so a run that failed can be run again.  Gives the validation summary per series.
+    `raw` are candles with `seq`, read once.  A month of a series is skipped if its manifest tells the same raw rows
+    (number and content) and the table still has the rows that it tells.  Other months are merged with the minutes that
+    the table has (these win, a conflict raises), or replaced if `force`d, and then all timeframes of the month are
+    written anew, so a run that failed can be run again.  Manifests come last.  Gives the validation summary per series.
     """
-    rows = clean.within(raw, start, end)
-    if not force:
-        done = partitions(spark, table)
-        rows = rows.withColumn("year", F.year("timestamp_utc")).withColumn("month", F.month("timestamp_utc")).join(F.broadcast(done.select("year", "month")), ["year", "month"], "left_anti").drop("year", "month")
-    rows = clean.keep_last(rows, seq="seq").withColumn("seq", F.unix_seconds("timestamp_utc"))
-    annotated = validate.annotate(rows)
-    summary = validate.summary(annotated).cache()
-    if summary.isEmpty():
+    aside, month = f"{table.rstrip('/')}.expand-{uuid.uuid4().hex}", [*SERIES, "year", "month"]
+    with_month = lambda df: df.withColumns({"year": F.year("timestamp_utc"), "month": F.month("timestamp_utc")})
+    try:
+        with_month(clean.keep_last(clean.within(raw, start, end), seq="seq")).select(*CANDLE_COLUMNS, "year", "month").write.parquet(f"{aside}/raw")
+        rows = spark.read.parquet(f"{aside}/raw")
+        told = rows.groupBy(*month).agg(F.count(F.lit(1)).alias("raw_rows"), content_hash(CANDLE_COLUMNS).alias("raw_hash"))
+        old = manifests(spark, table)
+        if not force:
+            held = old.where("timeframe = '1m'").join(partitions(spark, table), [*month, "rows"], "left_semi")
+            told = told.join(held.select(*month, "raw_rows", "raw_hash"), [*month, "raw_rows", "raw_hash"], "left_anti")
+        told.write.parquet(f"{aside}/told")
+        told = spark.read.parquet(f"{aside}/told")
+        rows = rows.join(F.broadcast(told.select(*month)), month, "left_semi").select(*CANDLE_COLUMNS)  # one row per month of a series
+        if not force and exists(spark, table):
+            before = with_month(read_candles(spark, table)).join(F.broadcast(told.select(*month)), month, "left_semi").select(*CANDLE_COLUMNS)
+            rows = clean.merge_overlap(before, rows)
+        rows.write.parquet(f"{aside}/minutes")
+        minutes = spark.read.schema(CANDLE_SCHEMA).parquet(f"{aside}/minutes")
+        annotated = validate.annotate(minutes.withColumn("seq", F.unix_seconds("timestamp_utc")))
+        summary = spark.createDataFrame(validate.summary(annotated).collect(), validate.summary(annotated).schema)  # one row per series
+        if minutes.isEmpty():
+            return summary
+        found = gaps.register(validate.gaps(annotated), source=source)
+        if gap_registry is not None:
+            gaps.save(gaps.upsert(gaps.load(spark, gap_registry), found), gap_registry)
+        everything = minutes.unionByName(resample_all(minutes))
+        write_candles(everything, table)
+        # What the table now has of these months, read back from it.
+        fresh = with_month(read_candles(spark, table)).join(F.broadcast(told.select(*[c for c in month if c != "timeframe"]).distinct()), [c for c in month if c != "timeframe"], "left_semi")
+        fresh = fresh.groupBy(*month).agg(F.count(F.lit(1)).alias("rows"), content_hash(CANDLE_COLUMNS).alias("hash"), F.min("timestamp_utc").alias("first_time"), F.max("timestamp_utc").alias("last_time"))
+        issues = with_month(annotated).groupBy(*month).agg(F.sum(F.size(F.filter("issues", lambda i: i != "DATA_GAP_DETECTED"))).cast("long").alias("issues"), F.sum(F.array_contains("issues", "DATA_GAP_DETECTED").cast("long")).alias("gaps"))
+        fresh = fresh.join(told, month, "left").join(issues, month, "left").na.fill(0, ["issues", "gaps"]).withColumn("status", F.when(F.col("issues") > 0, "WARNING").otherwise("PASS"))
+        kept = old.join(fresh.select(*month), month, "left_anti")
+        replace(kept.select(*[c.split()[0] for c in MANIFEST.split(", ")]).unionByName(fresh.select(*[c.split()[0] for c in MANIFEST.split(", ")])).coalesce(1), f"{table.rstrip('/')}/_manifests")
+        root_manifest(spark, table)
         return summary
-    if gap_registry is not None:
-        found = gaps.register(validate.gaps(annotated), source=source, step=seconds("1m"))
-        gaps.save(gaps.upsert(gaps.load(spark, gap_registry), found), gap_registry)
-    minutes = rows.select(*CANDLE_COLUMNS)
-    write_candles(minutes.unionByName(resample_all(minutes)), table)
-    return summary
+    finally:
+        delete(spark, aside)
+
+
+def root_manifest(spark: SparkSession, table: str) -> dict[str, Any]:
+    """Totals and one hash over the partition manifests, by timeframe, saved beside them; PASS only if every partition passed."""
+    by = manifests(spark, table).groupBy("timeframe").agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"), F.sum("gaps").alias("gaps"), F.sum("issues").alias("issues"), F.min("first_time").cast("string").alias("first_time"), F.max("last_time").cast("string").alias("last_time"),
+        content_hash([*SERIES, "year", "month", "rows", "hash"]).alias("hash"),
+    )
+    told = {r["timeframe"]: {k: v for k, v in r.asDict().items() if k != "timeframe"} for r in by.collect()}
+    out = {"rows": sum(t["rows"] for t in told.values()), "timeframes": told, "status": "PASS" if told and not any(t["issues"] for t in told.values()) else "WARNING"}
+    write_text(spark, f"{table.rstrip('/')}/_root_manifest.json", json.dumps(out, indent=2, sort_keys=True))
+    return out
 
 
-__all__ = ["Checkpoint", "Interrupted", "Market", "backfill", "checkpoint_id", "expand"]
+__all__ = ["Checkpoint", "Interrupted", "Market", "backfill", "checkpoint_id", "expand", "manifests", "root_manifest"]

@@ -11,13 +11,13 @@ from . import oracles as O
 from .clock import FeatureClock
 from .operators import clean, gaps, validate
 from .operators.resample import resample_all
-from .plans import calendar, contracts, manifest, report
+from .plans import calendar, contracts, ingest, manifest, report
 from .plans.engine import FeatureEngine, FeatureInput
 from .plans.registry import default_registry
 from .schema import CANDLE_COLUMNS, GAP_CATEGORIES, RESAMPLED, SECONDS
 from .sources import candles as tables
-from .sources import klines
-from .sources.ticks import event_candles, lineitem_days
+from .sources import files, klines
+from .sources.ticks import event_candles, lineitem_days, order_candles
 from .streaming.live import latency_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,17 +72,18 @@ def _family_sql(family: str) -> str:
     return f"{head}, {source} SELECT {sql_stamp('ts')} AS ts, inst, {O.shown(exprs, DOUBLES)} FROM x"
 
 
-def _wide_sql(legacy: bool = False) -> str:
+def _wide_sql(clock: tuple[int, int, int, int] = (3600, 900, 14400, 86400), ticks: str | None = None, history: int = REGISTRY.max_history) -> str:
     """CTEs up to `all_columns`: every feature of every bar, and what validity needs."""
-    exprs: dict[str, str] = {}
+    primary, exprs = clock[0], {}
     for family, build in FAMILIES.items():
-        exprs |= O.volatility(legacy) if family == "volatility" else build()
+        exprs |= O.time(primary) if family == "time" else build()
+    first = f"{ticks}, {O.more_bars(primary, 'bars')}" if ticks else O.bars(primary, per_type=True)
     own = ", ".join(f"{x} AS {c}" for c, x in exprs.items())
     mtf = ", ".join(c.name for f in REGISTRY if f.family == "mtf" for c in f.columns)
-    step = "epoch(ts) - epoch(ts1) > 3600"
+    step = f"epoch(ts) - epoch(ts1) > {primary}"
     gap = f"max(CASE WHEN {step} THEN rn END) OVER (PARTITION BY inst ORDER BY ts)"
-    return f"""WITH RECURSIVE {O.bars(3600, per_type=True)}, {O.shared()}, {O.hurst_lists('s', 'g')}, {O.filtered('g', 'x')}, {O.mtf(3600, 900, 14400, 86400)},
-wide AS (SELECT inst, ts, rn, v, {own}, coalesce(rn - {gap} < {REGISTRY.max_history}, false) AS has_data_gap, rn < {REGISTRY.max_history} AS is_warmup FROM x),
+    return f"""WITH RECURSIVE {first}, {O.shared()}, {O.hurst_lists('s', 'g')}, {O.filtered('g', 'x')}, {O.mtf(*clock)},
+wide AS (SELECT inst, ts, rn, v, {own}, coalesce(rn - {gap} < {history}, false) AS has_data_gap, rn < {history} AS is_warmup FROM x),
 all_columns AS (SELECT wide.*, {mtf} FROM wide JOIN m USING (inst, ts))"""
 
 
@@ -92,8 +93,8 @@ _DOMAIN = "(CASE WHEN v = 0 THEN 3 ELSE 0 END)" + "".join(f" + (CASE WHEN {c} IS
 _MISSING = " + ".join(f"({c} IS NULL)::INT" for c in _COUNTED)
 
 
-def _validity_sql(missing: str = _MISSING) -> str:
-    return f"""{_wide_sql()}, counted AS (SELECT *, {_DOMAIN} AS domain, {_MISSING} AS every FROM all_columns), judged AS (SELECT *, {missing} AS missing FROM counted)
+def _validity_sql(missing: str = _MISSING, **wide) -> str:
+    return f"""{_wide_sql(**wide)}, counted AS (SELECT *, {_DOMAIN} AS domain, {_MISSING} AS every FROM all_columns), judged AS (SELECT *, {missing} AS missing FROM counted)
 SELECT {sql_stamp('ts')} AS ts, inst, is_warmup, has_data_gap, {_CLEAN_ROW} AND greatest(0, missing - domain) = 0 AS is_valid,
   CAST(missing AS SMALLINT) AS nan_feature_count, CAST(domain AS SMALLINT) AS domain_nan_feature_count FROM judged"""
 
@@ -107,9 +108,9 @@ def features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(hourly(spark, sf_dir), ["is_warmup", "has_data_gap", "is_valid", "nan_feature_count", "domain_nan_feature_count", *names])
 
 
-def _full_sql() -> str:
+def _full_sql(**wide) -> str:
     cols = ", ".join(f"round({c.name}, 6) AS {c.name}" if c.name in DOUBLES else f"{sql_stamp(c.name)} AS {c.name}" if c.name in TIMES else c.name for c in REGISTRY.columns)
-    head, _, tail = _validity_sql("every").partition("\nSELECT ")
+    head, _, tail = _validity_sql("every", **wide).partition("\nSELECT ")
     return f"{head}\nSELECT {tail.replace(' FROM judged', f', {cols} FROM judged')}"
 
 
@@ -209,14 +210,14 @@ _GAPS = "SELECT inst AS instrument, prev + INTERVAL 300 SECOND AS gap_start, ts
 
 
 def gap_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = gaps.register(validate.gaps(validate.annotate(dirty(spark, sf_dir))), source="archive", detected_at="2024-01-01 00:00:00", step=300)
-    base = gaps.register(validate.gaps(validate.annotate(event_candles(spark, sf_dir, "5m").withColumn("seq", F.unix_seconds("timestamp_utc")))), source="stream", category="UNKNOWN", detected_at="2023-01-01 00:00:00", step=300)
+    found = gaps.register(validate.gaps(validate.annotate(dirty(spark, sf_dir))), source="archive", detected_at="2024-01-01 00:00:00")
+    base = gaps.register(validate.gaps(validate.annotate(event_candles(spark, sf_dir, "5m").withColumn("seq", F.unix_seconds("timestamp_utc")))), source="stream", category="UNKNOWN", detected_at="2023-01-01 00:00:00")
     both = gaps.upsert(base, found)
     return both.select("gap_id", "instrument", stamp(F.col("actual_missing_start_utc")).alias("start"), stamp(F.col("expected_end_utc")).alias("expected_end"), F.col("duration_seconds").cast("long").alias("duration_seconds"), F.col("missing_candles_count").cast("long").alias("missing"), "acquisition_source", "category")
 
 
 def gaps_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = gaps.register(validate.gaps(validate.annotate(dirty(spark, sf_dir))), source="archive", detected_at="2024-01-01 00:00:00", step=300)
+    found = gaps.register(validate.gaps(validate.annotate(dirty(spark, sf_dir))), source="archive", detected_at="2024-01-01 00:00:00")
     return gaps.by_category(found)
 
 
@@ -284,7 +285,7 @@ def lineitem_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.coverage(validate.annotate(dirty(spark, sf_dir)), "2024-01-01 00:00:00", "2024-02-01 00:00:00", step=300)
+    rows = report.coverage(validate.annotate(dirty(spark, sf_dir)), "2024-01-01 00:00:00", "2024-02-01 00:00:00")
     return rows.select("instrument", "expected", "actual", "coverage_percent", "gaps", "missing_candles", "is_valid")
 
 
@@ -325,14 +326,46 @@ def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kline_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bars written as CSV klines, with times in four units, a header and broken lines, and read again."""
+    """Bars written to files as CSV klines, with times in four units, a header and broken lines, and read again."""
     rows = event_candles(spark, sf_dir, "1h")
     at = F.unix_seconds("timestamp_utc")
     unit = F.pmod(F.floor(at / 3600), F.lit(4))
     epoch = F.when(unit == 0, at).when(unit == 1, at * 1000).when(unit == 2, at * 1_000_000).otherwise(at * 1_000_000_000)
     line = F.concat_ws(",", epoch.cast("string"), *[F.col(c).cast("string") for c in ("open", "high", "low", "close", "volume")], F.lit("0"), F.col("quote_volume").cast("string"), F.col("trade_count").cast("string"), F.col("taker_buy_base_volume").cast("string"), F.col("taker_buy_quote_volume").cast("string"), F.lit("0"))
-    lines = rows.select(line.alias("line")).unionByName(spark.createDataFrame([("",), ("open_time,open,high",), ("1,2,3",)], "line string")).withColumn("seq", F.lit(0).cast("long"))
-    return _bar_columns(klines._csv(lines, venue="SIM", instrument="evt", market_type="SPOT", timeframe="1H").select(*CANDLE_COLUMNS))
+    lines = rows.select(line.alias("line")).unionByName(spark.createDataFrame([("",), ("open_time,open,high",), ("1,2,3",)], "line string"))
+    path = files.scratch(spark, "klines")
+    lines.write.text(path)
+    return _bar_columns(klines.candles_from_csv(spark, [path], venue="SIM", instrument="evt", market_type="SPOT", timeframe="1H").select(*CANDLE_COLUMNS))
+
+
+def candle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of several instruments: written one after the other, months grown by merging, one instrument's months replaced."""
+    rows, path = event_candles(spark, sf_dir, "1h", per_type=True), files.scratch(spark, "candles")
+    odd = F.pmod(F.floor(F.unix_seconds("timestamp_utc") / 3600), F.lit(2)) == 1
+    tables.write_candles(rows.where(odd & (F.col("instrument") < "D")), path)
+    tables.write_candles(rows.where(odd & (F.col("instrument") >= "D")), path)
+    tables.merge_candles(rows, path)
+    tables.write_candles(rows.where("instrument = 'CLICK'").withColumn("close", F.col("close") + 1), path)
+    return _bar_columns(tables.read_candles(spark, path))
+
+
+def expanded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expansion of two instruments after each other, then of a grown month: what the manifests tell of the table, held against its rows."""
+    raw = event_candles(spark, sf_dir, "1m", per_type=True).withColumn("seq", F.unix_seconds("timestamp_utc"))
+    path = files.scratch(spark, "expanded")
+    ingest.expand(spark, raw.where("instrument = 'CLICK' AND minute(timestamp_utc) < 30"), table=path)
+    ingest.expand(spark, raw.where("instrument = 'PURCHASE'"), table=path)
+    ingest.expand(spark, raw.where("instrument IN ('CLICK', 'PURCHASE')"), table=path)
+    held = tables.read_candles(spark, path).groupBy("instrument", "timeframe").agg(F.count(F.lit(1)).alias("rows"), F.sum("trade_count").alias("trade_count"), F.sum(F.col("is_complete").cast("long")).alias("complete_rows"))
+    told = ingest.manifests(spark, path).groupBy("instrument", "timeframe").agg(F.sum("rows").alias("told_rows"))
+    return held.join(told, ["instrument", "timeframe"], "left")
+
+
+def features_five_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The production clock on a series without gaps: most rows are valid."""
+    bar = lambda tf: order_candles(spark, sf_dir, tf)
+    rows = FeatureEngine().compute(FeatureInput(bar("5m"), bar("1m"), bar("15m"), bar("1h")))
+    return _rounded(rows, ["is_warmup", "has_data_gap", "is_valid", "nan_feature_count", "domain_nan_feature_count", *[c.name for c in REGISTRY.columns]])
 
 
 def probe_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -357,7 +390,7 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {"ticks_to_candles": ticks_to_candles}
     found |= {f"resample_{tf}": _resampled(tf) for tf in RESAMPLED}
     found["resample_all"] = lambda spark, sf_dir: _bar_columns(resample_all(event_candles(spark, sf_dir, "1m")))
-    for f in (validate_issues, validate_summary, gap_records, gap_registry, gaps_by_category, dedupe_exact, dedupe_last, overlap_conflicts, overlap_merge, bounds, timeframe_summary, inspect_candles, partition_summary, reconcile_months, partition_hashes, lineitem_bars, coverage, issue_counts, null_counts, infinite_counts, input_contract, output_contract, chunk_plan, month_plan, pending_months, kline_csv, probe_latency, segmented_valid, feature_catalogue):
+    for f in (validate_issues, validate_summary, gap_records, gap_registry, gaps_by_category, dedupe_exact, dedupe_last, overlap_conflicts, overlap_merge, bounds, timeframe_summary, inspect_candles, partition_summary, reconcile_months, partition_hashes, lineitem_bars, coverage, issue_counts, null_counts, infinite_counts, input_contract, output_contract, chunk_plan, month_plan, pending_months, kline_csv, candle_table, expanded_table, probe_latency, segmented_valid, features_five_minutes, feature_catalogue):
         found[f.__name__] = f
     found |= {f"features_{family}": _family(family) for family in [*FAMILIES, "mtf"]}
     found["features_gk_legacy"] = lambda spark, sf_dir: _rounded(hourly(spark, sf_dir, gk_mode="legacy"), ["vol_gk_realized_12", "vol_gk_realized_24"])
@@ -377,12 +410,12 @@ def oracle_sql() -> dict[str, str]:
     per = f"SELECT inst AS instrument, (SELECT count(*) FROM dirty) AS total_records, (SELECT count(*) FROM dirty) - count(DISTINCT seq) FILTER (issue <> 'DATA_GAP_DETECTED') AS valid_records, count(DISTINCT seq) FILTER (issue <> 'DATA_GAP_DETECTED') AS invalid_records, count(*) AS total_issues, {count('EXACT_DUPLICATE')} AS exact_duplicates, {count('CONFLICTING_DUPLICATE')} AS conflicting_duplicates, {count('TIMESTAMP_OUT_OF_ORDER')} AS out_of_order, {count('DATA_GAP_DETECTED')} AS gaps, CAST(sum(CASE WHEN issue = 'DATA_GAP_DETECTED' THEN round_even(delta / 300, 0) - 1 ELSE 0 END) AS BIGINT) AS missing_candles, count(DISTINCT seq) FILTER (issue <> 'DATA_GAP_DETECTED') = 0 AS is_valid FROM issues GROUP BY 1"
     sql["validate_summary"] = f"{d} {per}"
     sql["gap_records"] = f"{d} SELECT instrument, {sql_stamp('gap_start')} AS gap_start, {sql_stamp('gap_end')} AS gap_end, seconds_between, missing_candles FROM ({_GAPS})"
-    one = "strftime(gap_start, '%Y%m%d%H%M%S')"
+    one = "strftime(gap_start, '%Y%m%d%H%M')"
     clean_gaps = "SELECT inst AS instrument, prev + INTERVAL 300 SECOND AS gap_start, ts - INTERVAL 300 SECOND AS gap_end, CAST(round_even(delta / 300, 0) AS BIGINT) - 1 AS missing_candles FROM (SELECT inst, ts, lag(ts) OVER (PARTITION BY inst ORDER BY ts) AS prev, epoch(ts) - epoch(lag(ts) OVER (PARTITION BY inst ORDER BY ts)) AS delta FROM bars) WHERE delta > 300"
     named = f"'gap_' || lower(instrument) || '_5m_' || {one} || '_' || {one.replace('gap_start', 'gap_end')} AS gap_id"
     sql["gap_registry"] = f"""{d}, u AS (SELECT {named}, *, 'archive' AS acquisition_source, 'PROVIDER_GAP' AS category, 1 AS fresh FROM ({_GAPS}) UNION ALL BY NAME SELECT {named}, *, 'stream' AS acquisition_source, 'UNKNOWN' AS category, 0 AS fresh FROM ({clean_gaps})),
 r AS (SELECT *, row_number() OVER (PARTITION BY gap_id ORDER BY fresh DESC) AS k FROM u)
-SELECT gap_id, instrument, {sql_stamp('gap_start')} AS start, {sql_stamp('gap_end + INTERVAL 300 SECOND')} AS expected_end, missing_candles * 300 AS duration_seconds, missing_candles AS missing, acquisition_source, category FROM r WHERE k = 1"""
+SELECT gap_id, instrument, {sql_stamp('gap_start')} AS start, {sql_stamp('gap_end')} AS expected_end, CAST(epoch(gap_end) - epoch(gap_start) AS INTEGER) AS duration_seconds, missing_candles AS missing, acquisition_source, category FROM r WHERE k = 1"""
     sql["gaps_by_category"] = f"{d} SELECT c.category, CAST(count(g.missing_candles) AS BIGINT) AS gaps, CAST(coalesce(sum(g.missing_candles), 0) AS BIGINT) AS missing_candles, CAST(count(g.missing_candles) AS BIGINT) AS unresolved FROM (SELECT unnest({list(GAP_CATEGORIES)!r}) AS category) c LEFT JOIN ({_GAPS}) g ON c.category = 'PROVIDER_GAP' GROUP BY 1"
     sql["dedupe_exact"] = f"{d} SELECT {sql_stamp('ts')} AS ts, CAST(min(seq) AS BIGINT) AS seq, round(c, 4) AS close FROM dirty GROUP BY inst, dirty.ts, o, h, l, c, v"
     sql["dedupe_last"] = f"{d} SELECT {sql_stamp('ts')} AS ts, CAST(max(seq) AS BIGINT) AS seq, round(arg_max(c, seq), 4) AS close FROM dirty GROUP BY inst, dirty.ts"
@@ -427,8 +460,13 @@ SELECT CAST(year(d) AS BIGINT) AS year, CAST(month(d) AS BIGINT) AS month, CAST(
     sql["segmented_valid"] = f"WITH RECURSIVE {islands}, {own}, {O.shared('ib')}, {rec} SELECT {sql_stamp('s.ts')} AS ts, round(lr, 6) AS ret_log_cc_1, round(CASE WHEN e12 > 0 THEN (c - e12) / e12 END, 6) AS mom_ema_dev_12, round(a14, 6) AS vol_atr_14, s.rn < 311 AS is_warmup FROM s JOIN rec ON s.inst = rec.inst AND s.ts = rec.ts"
     sql["feature_catalogue"] = "SELECT * FROM (VALUES ('returns', 12::BIGINT, 1::BIGINT, 97::BIGINT), ('momentum', 17, 7, 96), ('volatility', 11, 12, 108), ('liquidity', 11, 1, 48), ('structure', 22, 6, 96), ('mean_reversion', 9, 12, 98), ('time', 9, 1, 1), ('mtf', 17, 1, 311)) t(family, features, min_history, max_history)"
     sql |= {f"features_{family}": _family_sql(family) for family in [*FAMILIES, "mtf"]}
-    legacy = O.volatility(legacy=True)
-    sql["features_gk_legacy"] = f"WITH {O.bars(3600, per_type=True)}, {O.shared()} SELECT {sql_stamp('ts')} AS ts, inst, {', '.join(f'round({legacy[c]}, 6) AS {c}' for c in ('vol_gk_realized_12', 'vol_gk_realized_24'))} FROM s"
+    root = "CASE WHEN {0} >= 0 THEN sqrt({0}) WHEN abs({0}) <= 1e-12 THEN 0.0 END"
+    cols = ", ".join(f"round({root.format(f'gl{n}.raw')}, 6) AS vol_gk_realized_{n}" for n in (12, 24))
+    sql["features_gk_legacy"] = f"WITH RECURSIVE {O.bars(3600, per_type=True)}, {O.shared()}, {O.stale_sum(12)}, {O.stale_sum(24)} SELECT {sql_stamp('s.ts')} AS ts, inst, {cols} FROM s LEFT JOIN gl12 USING (inst, rn) LEFT JOIN gl24 USING (inst, rn)"
+    sql["candle_table"] = f"WITH {O.bars(3600, per_type=True)} SELECT '1h' AS timeframe, inst AS instrument, {sql_stamp('ts')} AS ts, {_BAR.replace('round(c, 4)', "round(c + CASE WHEN inst = 'CLICK' THEN 1 ELSE 0 END, 4)")}, true AS is_complete FROM bars"
+    held = " UNION ALL ".join(f"SELECT inst AS instrument, '{tf}' AS timeframe, CAST(count(*) AS BIGINT) AS rows, CAST(sum(n) AS BIGINT) AS trade_count, CAST(sum(k = {s // 60}) AS BIGINT) AS complete_rows FROM (SELECT inst, time_bucket(INTERVAL '{s} seconds', ts) AS b, sum(n) AS n, count(*) AS k FROM bars GROUP BY 1, 2) GROUP BY 1" for tf, s in SECONDS.items() if tf in ("1m", *RESAMPLED))
+    sql["expanded_table"] = f"WITH {O.bars(60, per_type=True)}, t AS ({held}) SELECT *, rows AS told_rows FROM t WHERE instrument IN ('CLICK', 'PURCHASE')"
+    sql["features_five_minutes"] = _full_sql(clock=(300, 60, 900, 3600), ticks=O.ORDER_TICKS, history=311)
     sql["features_validity"] = _validity_sql("every")
     from .plans.engine import SENTINELS
 

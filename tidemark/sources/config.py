@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-SECRET_WORDS = ("password", "secret", "token", "api_key", "apikey", "private_key", "credential")
+SECRET_WORDS = ("password", "passwd", "secret", "token", "key", "auth", "credential")
 _VARIABLE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::-([^}]*))?\}")
 
 

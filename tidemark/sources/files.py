@@ -13,6 +13,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm.org.apache.hadoop.fs.Path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir, else the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)

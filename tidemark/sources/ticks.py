@@ -28,6 +28,17 @@ def event_candles(spark: SparkSession, sf_dir: str, timeframe: str, *, per_type:
     return candles_from_ticks(event_ticks(spark.read.parquet(f"{sf_dir}/events.parquet"), per_type=per_type), timeframe, venue="sim")
 
 
+def order_ticks(orders: DataFrame, *, seconds: int = 20) -> DataFrame:
+    """A tick every `seconds` by order key, without gaps: price and quantity from the cents of the total."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("o_orderkey") * seconds)
+    return orders.select(F.lit("ORD").alias("instrument"), at.alias("ts"), (F.lit(100.0) + F.pmod(cents, F.lit(5000)) / 100.0).alias("price"), (F.pmod(cents, F.lit(50)) + 1).alias("quantity"), (F.pmod(cents, F.lit(3)) == 0).alias("is_taker_buy"))
+
+
+def order_candles(spark: SparkSession, sf_dir: str, timeframe: str) -> DataFrame:
+    return candles_from_ticks(order_ticks(spark.read.parquet(f"{sf_dir}/orders.parquet")), timeframe, venue="sim")
+
+
 def lineitem_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily high, low and volume of unit prices; opens and closes have no total order in this table, so they are the extremes."""
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_shipdate").cast("timestamp").alias("ts"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), "l_quantity", "l_extendedprice")
