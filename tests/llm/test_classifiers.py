@@ -56,7 +56,7 @@ def test_toxicity_learns_words_and_stems(make, spark):
 
 
 def test_toxic_matching():
-    lex = toxicity.Lexicon(toxicity.BASE)
+    lex = toxicity.Lexicon(toxicity.BASE | toxicity.MILD)
     for text in ("you IDIOT", "1d10t!", "id!ot", "ѕtupіd", "$tupid,", "ｌｏｓｅｒ", "i d i o t", "s.t.u.p.i.d", "İdiot", "idiot!!"):
         assert lex.matches(text) or lex.density(text) > 0, text
     for text in ("a trash can", "garbage collection", "the clown fish", "a pond scum", "closers", "idiotic", "trashy", "", "path"):
@@ -141,3 +141,66 @@ def test_discriminant_is_the_log_density_difference():
 
     v = r.normal(size=4)
     assert abs(m.score(v[None])[0] - 1 / (1 + np.exp(density(v, 0) - density(v, 1)))) < 1e-9
+
+
+def naive_matches(lexicon, text):
+    """Every entry at every place, without an automaton."""
+    folded, solid = toxicity.fold(text), lambda i: bool(toxicity._SOLID.match(toxicity.fold(text), i))
+    begins = lambda i: not i or not text[i - 1].isalnum() or solid(i)
+    ends = lambda i, e: e == len(text) or not text[e].isalnum() or solid(i)
+    found, spared = {}, []
+    for i in range(len(text)):
+        for phrase in lexicon.exceptions:
+            if folded.startswith(toxicity.fold(phrase), i) and begins(i) and ends(i, i + len(phrase)):
+                spared.append((i, i + len(phrase)))
+        for entry, weight in lexicon.entries.items():
+            word = entry.rstrip("*")
+            if folded.startswith(word, i) and begins(i) and (entry.endswith("*") or ends(i, i + len(word))) and (i not in found or weight > found[i][1]):
+                found[i] = (i + len(word), weight)
+    return [(s, e, w) for s, (e, w) in sorted(found.items()) if not any(a <= s and e <= b for a, b in spared)]
+
+
+def test_matches_equal_a_naive_scan():
+    lexicon = toxicity.Lexicon(toxicity.BASE | toxicity.MILD | {"idio*": 2.0, "tras*": 1.5, toxicity.fold("дурак"): 2.5, "笨蛋": 2.0, "e": 0.5})
+    r = random.Random(4)
+    parts = ["idiot", "IDIOTIC", "1d1ot", "trash", " trash can", "trashy", "дурак", "Дураки", "你是笨蛋吧", "笨蛋", "e", "garbage collector", " ", " ", ", ", "x", "9", "é", "sore loser", "\n"]
+    for _ in range(400):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 9)))
+        assert lexicon.matches(text) == naive_matches(lexicon, text), text
+
+
+def test_labels_overrule_the_general_list():
+    assert "shit" not in toxicity.choose([("shit", 10, 5000)], 100, 10_000) and toxicity.choose([("shit", 0, 2)], 100, 10_000)["shit"] == 3.0
+    assert not toxicity.MILD.keys() & toxicity.choose([], 100, 10_000).keys()
+    lexicon = toxicity.Lexicon(toxicity.choose([("zorp", 60, 0)], 100, 10_000))
+    for text in ("The council collects garbage and trash on Mondays.", "The clown performed at the fair.", "the losers of the match shook hands with the winners"):
+        assert lexicon.score(text) < 0.3, text
+
+
+@pytest.mark.parametrize("word", ["ужасник", "κακοποιός", "废物", "zorpic"])
+def test_words_of_any_script_are_learned(make, spark, word):
+    r, vocabulary = random.Random(1), ["мирный", "λόγος", "平和", "garden", "river", "stone", "cloud", "meadow"]
+    plain = lambda i: " ".join(r.choice(vocabulary) + str(i % 7) * 0 for _ in range(30)) + f" {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"
+    rows = [(i, plain(i) + (f" {word} " + plain(i) if i % 2 else "")) for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    lexicon = toxicity.fit(make(rows), labels)
+    assert lexicon.score(plain(1) + " " + word) > 0.5 > lexicon.score(plain(2))
+
+
+def test_kernel_equals_plain_sets_of_grams():
+    """The whole score from sets of byte n-grams, landmarks taken as texts, without presence matrices."""
+    texts = ["the cat and the dog went out", "der hund und die katze gehen", "el perro y el gato salen", "the house", "das haus ist", "la casa es"]
+    model = fitted(texts, ["en", "de", "es"] * 2, landmarks=6)
+
+    def grams(text):
+        data = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode()) + b"  "
+        return {(n, data[i : i + n]) for n in (1, 2, 3) for i in range(len(data) - n + 1)}
+
+    cell = lambda g: int(language.cells(np.frombuffer(g[1], np.uint8), g[0])[0])
+    sets = [{cell(g) for g in grams(t)} for t in texts]
+    kept = [{int(i) for i in np.nonzero(row)[0]} for row in model.landmarks]
+    assert sorted(map(sorted, kept)) == sorted(map(sorted, sets))
+    assert all(len({cell(g) for g in grams(t)}) == len(grams(t)) for t in texts)  # no two grams of a text share a cell
+    new = {cell(g) for g in grams("the dog and das haus")}
+    kernel = np.array([len(new & s) / np.sqrt(len(new) * len(s)) for s in kept])
+    assert np.allclose(model.scores(["the dog and das haus"])[0], kernel @ model.coefficients + model.offset, atol=1e-4)

@@ -31,7 +31,7 @@ def sample(n, dim=16, seed=3):
     return [(int(i), [float(np.float32(y)) for y in v]) for i, v in zip(r.permutation(3 * n)[:n], x)]
 
 
-@pytest.mark.parametrize("options", [{}, {"block": 100, "query_block": 7}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 12_800, "query_block": 7}, {"block_bytes": 6400, "routes": 3}])
 def test_equals_full_scan(spark, options):
     rows = sample(900)
     assert run(spark, rows, **options) == brute(rows, [i for i, _ in rows if i % 20 == 0])
@@ -49,21 +49,24 @@ def test_odd_vectors(spark):
 def test_long_vectors_are_exact(spark):
     rows = sample(200, dim=4) + [(1001, [1.5e6, 0.0, 0.0, 1.0]), (1020, [-3e6, 2e6, 0.5, 0.0]), (1040, [4e7, 1.0, 0.0, 3e6]), (1003, [2.0**24, -(2.0**20), 1.0, 0.0]), (1060, [0.25, 0.5, 0.0, 0.0])]
     assert run(spark, rows) == brute(rows, [i for i, _ in rows if i % 20 == 0])
-    assert run(spark, rows, block=40, query_block=3) == brute(rows, [i for i, _ in rows if i % 20 == 0])
+    assert run(spark, rows, block_bytes=640, query_block=3) == brute(rows, [i for i, _ in rows if i % 20 == 0])
     x = np.array([[2.0**60, 3.0], [2.0**61, -5.0]])
     assert mtree.products(x, x).tolist() == [[2**120 + 9, 2**121 - 15], [2**121 - 15, 2**122 + 25]]
 
 
-def test_pages_are_skipped():
+def test_pages_are_skipped(spark):
+    """Clustered vectors, many queries: fewer than a tenth of all pairs are computed, in one tree and over blocks."""
     r = np.random.default_rng(0)
-    x = np.floor(64 * (np.repeat(r.normal(size=(40, 8)) * 5, 100, axis=0) + r.normal(size=(4000, 8)) * 0.05))
-    tree = mtree.MTree(np.arange(4000), x)
-    scanned = []
-    tree.members = [None if m is None else m for m in tree.members]
-    inner = tree._distance
-    tree._distance = lambda a, b: scanned.append(len(b)) or inner(a, b)
-    tree.search(np.array([-1]), x[:1], 5)
-    assert sum(scanned) < len(tree.radius)
+    x = np.repeat(r.normal(size=(40, 8)) * 5, 100, axis=0) + r.normal(size=(4000, 8)) * 0.05
+    whole = np.floor(64 * x)
+    tree = mtree.MTree(np.arange(4000), whole)
+    found = [tree.search(i, whole[i], 5) for i in range(0, 4000, 40)]
+    assert sum(f[2] for f in found) < 0.1 * 100 * 4000
+    rows = [(i, [float(v) for v in y]) for i, y in enumerate(x.astype(np.float32))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    told = mtree.top_k(df, df.where("vec_id % 20 = 0"), k=5, block_bytes=64 << 8, computed=True).collect()
+    assert len(told) == 200 and sum(t["distances"] for t in told) < 0.5 * 200 * 4000
+    assert run(spark, rows, k=5, block_bytes=64 << 8) == brute(rows, range(0, 4000, 20), 5)
 
 
 def test_radii_and_parent_distances_hold():
@@ -71,11 +74,12 @@ def test_radii_and_parent_distances_hold():
     tree = mtree.MTree(np.arange(3000), np.floor(64 * r.normal(size=(3000, 6))))
 
     def rows(node):
-        return tree.members[node] if tree.members[node] is not None else np.concatenate([rows(c) for c in tree.inner[node]])
+        return list(range(tree.lo[node], tree.hi[node]))
 
-    assert sorted(rows(tree.root)) == list(range(3000))
+    assert sorted(tree.ids) == list(range(3000)) and rows(0) == list(range(3000)) and len(tree.inner[0])
+    full = mtree.padded(tree.x, tree.norm2)
     for node in range(len(tree.radius)):
-        d = np.linalg.norm(tree.full[rows(node)] - tree.centre[node], axis=1)
+        d = np.linalg.norm(full[rows(node)] - tree.centre[node], axis=1)
         assert d.max() <= tree.radius[node] + 1e-6
         for c in tree.inner[node]:
             assert abs(np.linalg.norm(tree.centre[c] - tree.centre[node]) - tree.up[c]) < 1e-6

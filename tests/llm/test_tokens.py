@@ -17,7 +17,7 @@ from tidemark.llm.common import new_path
 MULTI, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
 TEXTS = [
     "", "  a   b \n\n c\t\td  ", "x\n y", " \nb", "a  b", "ÄÖ naïve 中文 test　x", "don't  can't I'LL we've", "a\x1cb \x85c\xa0d", "İstanbul ΣΑΣ ς ǅ", "1234 ５６ ²½", "😀 👍🏽x", "é x",
-    "<|endoftext|> <|startoftext|>", "a   b", "\n", " a", "a ", "a \n", "the, the. the! THE?", "x" * 3000, "word, " * 2000, " x y", "“quoted” — ‘it’s’",
+    "<|endoftext|> <|startoftext|>", "hello <|startoftext|> world<|endoftext|>!", "<|STARTOFTEXT|> <| startoftext |>", "<|startoftext|", "a   b", "\n", " a", "a ", "a \n", "the, the. the! THE?", "x" * 3000, "word, " * 2000, " x y", "“quoted” — ‘it’s’",
 ]
 
 
@@ -30,13 +30,11 @@ def oracle():
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(WORDS)  # as it is: names of special tokens in a text become these tokens
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60) | st.text("ab ,.'\n\t é1", max_size=60))
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60) | st.text("ab ,.'\n\t é1", max_size=60) | st.lists(st.sampled_from(["<|startoftext|>", "<|endoftext|>", "<|", " ", "a,", "|>"]), max_size=8).map("".join))
 def test_any_text_encodes_like_the_libraries(text):
     b, w = bpe.load(MULTI, P.PATTERN), huffman.load(WORDS)
     (ids,) = b.encode([text])
@@ -45,9 +43,10 @@ def test_any_text_encodes_like_the_libraries(text):
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={}) if not _ENC else _ENC[0]
     _ENC or _ENC.append(own)
     assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(text) and b.decode(ids) == text.encode()
-    assert np.frombuffer(w.encode([text])[0], w.dtype).tolist() == w.lib.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(w.encode([text])[0], w.dtype).tolist() == _LIB[0].encode(text, add_special_tokens=False).ids
 
 
+_LIB = [Tokenizer.from_file(WORDS)]
 _RANKS: dict = {}
 _ENC: list = []
 
@@ -147,3 +146,22 @@ def test_codec_round_trip_from_any_checkpoint(docs, every):
 def test_too_many_symbols():
     with pytest.raises(ValueError):
         huffman.code_lengths(np.ones(5), 2)
+
+
+def test_special_tokens_are_the_librarys(library):
+    w = huffman.load(WORDS)
+    ids = np.frombuffer(w.encode(["hello <|startoftext|> world"])[0], w.dtype).tolist()
+    assert ids == library.encode("hello <|startoftext|> world", add_special_tokens=False).ids and 49406 in ids
+
+
+def test_codes_longer_than_a_small_window():
+    """Over 2^16 symbols, and a skew that asks for long codes."""
+    r = np.random.default_rng(3)
+    counts = np.concatenate([np.ones(70_000, np.int64), (1 << np.arange(30)).astype(np.int64)])
+    lengths = huffman.code_lengths(counts, int(np.count_nonzero(counts)).bit_length())
+    assert lengths.max() > 16 and abs(np.sum(2.0 ** -lengths.astype(float)) - 1) < 1e-12
+    ids = np.concatenate([r.integers(0, len(counts), 5000), np.arange(len(counts) - 40, len(counts))]).astype(np.uint32)
+    (payload,), (points,) = huffman.pack(ids, np.array([len(ids)]), lengths, huffman.canonical(lengths), 256)
+    runs = np.full(-(-len(ids) // 256), 256)
+    runs[-1] = (len(ids) - 1) % 256 + 1
+    assert (huffman.Decoder(lengths).decode(payload, points.astype(np.uint64), runs) == ids).all()

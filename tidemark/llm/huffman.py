@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .bpe import LETTER_MARK, WordMemory, byte_characters, encode_words
 from .common import arrow, byte_slices, column, drop, new_path, slices
 
-#: The longest code; ids between two checkpoints; ids from which a block is full.
+#: The longest code (longer ones only where a vocabulary needs them); ids between two checkpoints; ids from which a block is full.
 MAX_BITS, EVERY, BLOCK_IDS = 16, 256, 1 << 20
 
 
@@ -42,7 +42,6 @@ class WordBPE:
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         normal = [(s["type"], s.get("pattern"), s.get("content")) for s in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -53,6 +52,9 @@ class WordBPE:
             and cut["pattern"]["Regex"] == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # no match holds white space
             and [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] == [("ByteLevel", False, False)]
         )
+        # Names of added tokens in a text are for the library to find, so such texts go whole through it.
+        added = "|".join(re.escape(t["content"]) for t in spec.get("added_tokens") or [] if t["content"])
+        self.other = re.compile(f"{self.OTHER.pattern}|(?i:{added})" if added else self.OTHER)
         self.find = regex.compile(cut["pattern"]["Regex"]).findall if self.plain else None
         self.lib.model._resize_cache(0)  # words are remembered here
         self.merge, self.table = self.lib.model.tokenize, dict(enumerate(byte_characters()))
@@ -72,7 +74,7 @@ class WordBPE:
 
     def encode_array(self, texts: list[str], end_id: int | None = None) -> pa.Array:
         """Ids of each text, and `end_id` after them, as a binary array."""
-        plain = [self.plain and not self.OTHER.search(t) for t in texts]
+        plain = [self.plain and not self.other.search(t) for t in texts]
         whole = {i: self.lib.encode(t, add_special_tokens=False).ids for i, (t, p) in enumerate(zip(texts, plain)) if not p}
         lower = pa.array([t.lower() if p else None for t, p in zip(texts, plain)], pa.string())
         words = pc.ascii_split_whitespace(pc.replace_substring_regex(lower, LETTER_MARK, r"\1 \2"))
@@ -194,12 +196,12 @@ def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndar
 
 
 class Decoder:
-    """Table-driven: the next max_bits bits name an id and its length.  All runs between checkpoints advance together."""
+    """Table-driven: the next bits, as many as the longest code has, name an id and its length.  All runs between checkpoints advance together."""
 
-    def __init__(self, lengths: np.ndarray, max_bits: int = MAX_BITS):
-        if max_bits > 17:
-            raise ValueError("a window of three bytes holds codes of 17 bits")
-        self.max_bits = max_bits
+    def __init__(self, lengths: np.ndarray):
+        self.max_bits = max_bits = max(1, int(lengths.max(initial=0)))
+        if max_bits > 25:
+            raise ValueError("a window of four bytes holds codes of 25 bits")
         order = np.lexsort((np.arange(len(lengths)), lengths))
         order = order[lengths[order] > 0]
         span = 1 << (max_bits - lengths[order].astype(int))
@@ -209,15 +211,17 @@ class Decoder:
 
     def decode(self, payload: bytes, points: np.ndarray, runs: np.ndarray) -> np.ndarray:
         """The ids of runs of `runs` ids that start at the bit offsets `points`, in turn."""
-        raw = np.frombuffer(payload + b"\0\0\0", np.uint8).astype(np.uint32)
-        window = raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]
+        raw = np.frombuffer(payload + b"\0\0\0\0", np.uint8).astype(np.uint32)
+        window, wide = raw[:-3] << 16 | raw[1:-2] << 8 | raw[2:-1], 24
+        if self.max_bits > 17:
+            window, wide = window << 8 | raw[3:], 32
         order = np.argsort(-runs, kind="stable")
         p, out = points[order].astype(np.int64), np.empty(int(runs.sum()), np.uint32)
         to = (np.cumsum(runs) - runs)[order]
         left = np.searchsorted(-runs[order], -np.arange(int(runs.max(initial=0))), "left")  # runs with more than k ids
         for k, n in enumerate(left.tolist()):
             q = p[:n]
-            v = window[q >> 3] >> (24 - self.max_bits - (q & 7)).astype(np.uint32) & np.uint32((1 << self.max_bits) - 1) if self.max_bits <= 17 else None
+            v = window[q >> 3] >> (wide - self.max_bits - (q & 7)).astype(np.uint32) & np.uint32((1 << self.max_bits) - 1)
             out[to[:n] + k] = self.symbol[v]
             p[:n] = q + self.bits[v]
         return out
@@ -234,7 +238,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
     table = spark.read.schema("doc_id long, ids binary, counts binary").parquet(kept)
     ids, bpe = table.where("ids is not null").select("doc_id", "ids"), load(vocabulary)
     dtype, counts = bpe.dtype, sum_counts(table, bpe.size(end_id))
-    lengths = code_lengths(counts, max_bits)
+    lengths = code_lengths(counts, max(max_bits, int(np.count_nonzero(counts)).bit_length()))
     coded = [(int(i), int(lengths[i])) for i in np.nonzero(lengths)[0]]
     spark.createDataFrame(coded, "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     codes = canonical(lengths)
@@ -274,7 +278,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, *, end_id: int | None = 1
     drop(spark, kept)
 
 
-def read(spark: SparkSession, path: str, *, max_bits: int = MAX_BITS, every: int = EVERY, digest: bool = False) -> DataFrame:
+def read(spark: SparkSession, path: str, *, every: int = EVERY, digest: bool = False) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, and the ids (binary, little-endian unsigned 32-bit) or their crc32."""
     lengths = np.zeros(1, np.uint8)
     for row in spark.read.schema("id int, bits int").parquet(f"{path}/codebook").toLocalIterator():
@@ -288,7 +292,7 @@ def read(spark: SparkSession, path: str, *, max_bits: int = MAX_BITS, every: int
     kind = "ids_crc32 long" if digest else "ids binary"
 
     def run(batches):
-        decoder = Decoder(lengths, max_bits)
+        decoder = Decoder(lengths)
         for batch in slices(batches, 1):
             row = batch.to_pylist()[0]
             n = np.array(row["n_tokens"], np.int64)

@@ -53,8 +53,12 @@ def cells(data: np.ndarray, n: int) -> np.ndarray:
 
 
 def presence(data: np.ndarray, seg: np.ndarray, count: int):
-    """Per batch of segments: (first segment, presence matrix, letters of each segment)."""
+    """Per batch of segments: (first segment, presence matrix, letters of each segment); n-grams lie within a segment."""
     grams = [cells(data, n) for n in (1, 2, 3)]
+    for n in (2, 3):
+        over = np.nonzero(seg[n - 1 :] != seg[: len(seg) - n + 1])[0]
+        over = np.concatenate([over, np.arange(max(0, len(seg) - n + 1), len(seg))])
+        grams[n - 1][over] = grams[0][over]
     letters = np.bincount(seg, _IS_LETTER[data], count)
     x = np.zeros((BATCH, CELLS), np.float32)
     flat = x.reshape(-1)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow, column, components, forest, slices, staged, tile_pairs, whole_groups
+from .common import arrow, column, components, forest, slices, spread_join, staged, tile_pairs, whole_groups
 
 #: The pivots come from so many rows, those of the smallest hash, and are less alike than SPREAD.
 SAMPLE, SPREAD = 8192, 0.7
@@ -144,9 +144,9 @@ def near_duplicates(vectors: DataFrame, *, threshold: float = 0.95, pivots: int
     near = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("near"))
     root = components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     classes = distinct.join(near, "rep", "left").join(root.withColumnRenamed("node", "rep"), "rep", "left")
-    classes = classes.select("v", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+    classes = classes.select("v", "copies", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     every = rows.withColumn("ok", valid("v") & F.col("vec_id").isNotNull()).withColumn("v", F.when(F.col("ok"), F.col("v")))
-    return every.join(classes, "v", "left").select(
+    return spread_join(every, classes, "v", weight="copies", total=rows.count(), spread=F.col("vec_id")).select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),

@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow, byte_slices, column, filtered, remainder, slices, staged
 
-#: General insults and their weights before anything is learned.
-BASE = {w: 3.0 for w in "idiot idiots moron morons stupid imbecile dumbass loser losers scum trash garbage pathetic worthless disgusting clown clowns bastard bastards asshole assholes bitch bitches crap shit shitty fuck fucker fucking whore slut retard retarded scumbag degenerate vermin subhuman".split()}
+#: General insults and their weights before anything is learned, and words that are insults only at times: labels decide
+#: about these where there are labels, and they count little where there are none.
+BASE = {w: 3.0 for w in "idiot idiots moron morons imbecile dumbass bastard bastards asshole assholes bitch bitches shit shitty fuck fucker fucking whore slut retard retarded scumbag subhuman".split()}
+MILD = {w: 1.0 for w in "stupid loser losers scum trash garbage pathetic worthless disgusting clown clowns crap degenerate vermin".split()}
 #: Phrases in which an entry says nothing toxic.
 EXCEPTIONS = ("trash can", "trash bin", "trash collection", "trash pickup", "garbage collection", "garbage collector", "garbage truck", "garbage can", "clown fish", "clown car", "circus clown", "pathetic fallacy", "idiot proof", "pond scum", "soap scum", "sore loser")
 #: Bounds of the fitted sample and of the lexicon: labelled rows a class, entries; rows that a learned entry needs, and share of the toxic rows.
@@ -38,7 +40,9 @@ _LOOK = {
 _FOLD = {ord(c): a for a, cs in _LOOK.items() for c in cs}
 _FOLD |= {ord(c.upper()): a for a, cs in _LOOK.items() for c in cs if len(c.upper()) == 1 and not c.upper().isascii()}
 _FOLD |= {0xFF21 + i: chr(97 + i) for i in range(26)} | {0xFF41 + i: chr(97 + i) for i in range(26)} | {0x41 + i: chr(97 + i) for i in range(26)}
-_PLAIN = re.compile(r"[a-z]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Characters of scripts that put no space between words: words there are runs of two and of three characters.
+_SOLID = re.compile("[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]+")
 _SPREAD = re.compile(r"(?<!\w)(?:\w[ .\-_*]){2,}\w(?!\w)")
 
 
@@ -60,8 +64,12 @@ def fold(text: str) -> str:
 
 
 def words(text: str) -> list[str]:
-    """Words of letters as the lexicon spells them: accents folded; digits and signs are left out, not folded."""
-    return _PLAIN.findall(fold("".join(c if c.isalpha() else " " for c in text)))
+    """Words of letters of any script as the lexicon spells them: accents folded; digits and signs are left out, not folded."""
+    folded = fold("".join(c if c.isalpha() else " " for c in text))
+    found = _LETTERS.findall(_SOLID.sub(" ", folded))
+    for run in _SOLID.findall(folded):
+        found += [run] if len(run) < 3 else [run[i : i + n] for n in (2, 3) for i in range(len(run) - n + 1)]
+    return found
 
 
 def signature(text: str) -> int:
@@ -99,9 +107,10 @@ class Lexicon:
         folded, found, spared = fold(text), {}, []
         for last, (size, kinds) in self.machine.iter(folded):
             start, end = last + 1 - size, last + 1
-            if start and text[start - 1].isalnum():
+            solid = _SOLID.match(folded, start)
+            if start and text[start - 1].isalnum() and not solid:
                 continue
-            whole = end == len(text) or not text[end].isalnum()
+            whole = solid or end == len(text) or not text[end].isalnum()
             for entire, weight in kinds:
                 if entire and not whole:
                     continue
@@ -138,13 +147,20 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float
     return float(max(b[0], 0.5)), float(b[1])
 
 
+def enough(toxic: int, clean: int, support: int = SUPPORT, share: float = SHARE) -> float:
+    """Toxic rows that an entry needs: `support`, and `share` of all, or as many as one of a million entries would hardly have by chance."""
+    chance = np.log(1e8) / np.log((toxic + clean) / toxic)
+    return max(support, min(share * toxic, chance))
+
+
 def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int, *, support: int = SUPPORT, share: float = SHARE, entries: int = ENTRIES, base: Mapping[str, float] = BASE) -> dict[str, float]:
     """Entries with weights from (word or stem*, toxic rows, clean rows): log odds, where an entry is rare in clean rows.
 
-    An entry needs `support` rows and `share` of the toxic rows, so that the words of one copied text teach nothing.  Of a
-    stem and what it begins, the longest that stands for nearly all rows is kept; what a kept stem covers is left out.
+    An entry needs `enough` toxic rows.  Of a stem and what it begins, the longest that stands for nearly all rows is kept;
+    what a kept stem covers is left out.  A word of `base` that `support` rows have is as good as the labels say.
     """
-    need, good = max(support, share * toxic), {}
+    need, good = enough(toxic, clean, support, share), {}
+    base = {e: w for e, w in base.items() if sum(x for k, t, c in counts if k == e for x in (t, c)) < support}
     for entry, t, c in counts:
         odds = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
         if t >= need and c * toxic <= RATE * t * clean and odds >= 2.0:
@@ -189,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
     sizes = {r["y"]: r["n"] for r in taught.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return Lexicon(BASE, exceptions)
+        return Lexicon(BASE | MILD, exceptions)
 
     def count(batches):
         tally: dict[str, list[int]] = {}
@@ -211,8 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, label_col: str = "toxic", toxic_r
         yield flush()
 
     counted = arrow(taught, count, "entry string, t long, c long").groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    rare = (F.col("t") >= max(support, SHARE * toxic)) & (F.col("c") * toxic <= F.col("t") * (RATE * clean))
-    counts = {r["entry"]: (r["t"], r["c"]) for r in counted.where(rare).orderBy(F.desc("t"), "entry").limit(16 * ENTRIES).collect()}
+    rare = (F.col("t") >= enough(toxic, clean, support)) & (F.col("c") * toxic <= F.col("t") * (RATE * clean))
+    told = F.col("entry").isin(*BASE)
+    counts = {r["entry"]: (r["t"], r["c"]) for r in counted.where(rare | told).orderBy(F.desc(told), F.desc("t"), "entry").limit(16 * ENTRIES).collect()}
     draft = Lexicon(choose([(e, t, c) for e, (t, c) in counts.items()], toxic, clean, support=support), exceptions)
 
     def densities(batches):
