@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import arrow, column, slices, staged
 
 #: Vectors in a leaf page and entries in an inner page; relative slack of bounds; squared length from which doubles aren't exact.
-PAGE, FANOUT, SLACK, LONG = 32, 8, 1e-9, 2.0**52
+PAGE, FANOUT, SLACK, LONG = 128, 8, 1e-9, 2.0**52
 #: Routing objects at the top at most, and the rows that they come from: those of the smallest hash.
 ROUTES, SAMPLE = 512, 8192
 #: Bytes of vectors in a block; queries that search a block at once.
