@@ -16,7 +16,6 @@ are compared one by one in whole numbers.
 from __future__ import annotations
 
 import pickle
-from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import arrow, column, slices, staged
 
 #: Vectors in a leaf page and entries in an inner page; relative slack of bounds; squared length from which doubles aren't exact.
-PAGE, FANOUT, SLACK, LONG = 128, 8, 1e-9, 2.0**52
+PAGE, FANOUT, SLACK, LONG = 512, 8, 1e-9, 2.0**52
 #: Routing objects at the top at most, and the rows that they come from: those of the smallest hash.
 ROUTES, SAMPLE = 512, 8192
 #: Bytes of vectors in a block; queries that search a block at once.
@@ -93,48 +92,67 @@ class MTree:
         self.hi[at] = len(self._order)
         return at
 
-    def search(self, q_id: int, q: np.ndarray, k: int, kth: float = np.inf) -> tuple[np.ndarray, np.ndarray, int]:
-        """Highest k scores of one query and their ids, ties to the smaller id, its own id left out, and the distances that it took.
+    def search(self, q_ids: np.ndarray, q: np.ndarray, k: int, kth: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Highest k scores of each query and their ids (-inf and the largest id fill up), ties to the smaller id, its own id left out, and the distances that it took.
 
-        Only what may lie within the distance `kth` has to be found.
+        Only what may lie within a query's distance `kth` has to be found.  Every query takes its own best page in turn;
+        queries that take the same page at a time share a matrix product.
         """
-        best, names, took = np.zeros(0), np.zeros(0, np.int64), 0
-        if not len(self.radius):
+        best, names = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+        took = np.zeros(len(q), np.int64)
+        if not len(self.radius) or not len(q):
             return best, names, took
-        q2 = float(q @ q)
-        full, slack = np.append(q, 0.0), SLACK * (np.sqrt(q2) + np.sqrt(self.norm2) + 1)
-        kth += 2 * slack
-        d = float(np.sqrt(max(((self.centre[0] - full) ** 2).sum(), 0)))
+        q2 = (q * q).sum(axis=1)
+        full, slack = np.hstack([q, np.zeros((len(q), 1))]), SLACK * (np.sqrt(q2) + np.sqrt(self.norm2) + 1)
+        kth = np.full(len(q), np.inf) if kth is None else kth + 2 * slack
+
+        def scan(leaf: int, of: np.ndarray, d: np.ndarray):
+            lo, hi = self.lo[leaf], self.hi[leaf]
+            may = (np.abs(d[:, None] - self.near[None, lo:hi]) <= kth[of][:, None]).any(axis=0)
+            x, own = (self.x[lo:hi], self.ids[lo:hi]) if may.all() else (self.x[lo:hi][may], self.ids[lo:hi][may])
+            took[of] += len(own)
+            if not len(own):
+                return
+            score = q[of] @ x.T
+            hit = (score >= best[of, -1][:, None]) & (own[None, :] != q_ids[of][:, None])
+            for i in np.nonzero(hit.any(axis=1))[0]:
+                c, j = np.nonzero(hit[i])[0], of[i]
+                if len(c) > k:  # only what reaches the k-th best of these
+                    c = c[score[i, c] >= np.partition(score[i, c], len(c) - k)[len(c) - k]]
+                s, n = np.concatenate([best[j], score[i, c]]), np.concatenate([names[j], own[c]])
+                first = np.lexsort((n, -s))[:k]
+                best[j], names[j] = s[first], n[first]
+                if best[j, -1] > -np.inf:
+                    kth[j] = min(kth[j], np.sqrt(max(q2[j] + self.norm2 - 2 * best[j, -1], 0)) + 2 * slack[j])
+
+        # Every query's open pages: lower bound, and distance to the routing object.
+        bound, apart = np.full((len(q), len(self.radius)), np.inf), np.zeros((len(q), len(self.radius)))
+        apart[:, 0] = distances(full, self.centre[:1])[:, 0]
+        bound[:, 0] = np.maximum(apart[:, 0] - self.radius[0], 0)
         took += 1
-        open_ = [(max(d - self.radius[0], 0.0), 0, d)]  # pages: lower bound, node, distance to its object
-        while open_:
-            low, node, d = heappop(open_)
-            if low > kth:
-                break
-            below = self.inner[node]
-            if len(below):
-                below = below[np.abs(d - self.up[below]) - self.radius[below] <= kth]
-                gaps = self.centre[below] - full
-                apart = np.sqrt((gaps * gaps).sum(axis=1))
-                took += len(below)
-                for c, a in zip(below.tolist(), apart.tolist()):
-                    if (bound := max(a - self.radius[c], 0.0)) <= kth:
-                        heappush(open_, (bound, c, a))
-                continue
-            rows = self.lo[node] + np.nonzero(np.abs(d - self.near[self.lo[node] : self.hi[node]]) <= kth)[0]
-            if not len(rows):
-                continue
-            score, own = self.x[rows] @ q, self.ids[rows]
-            took += len(rows)
-            score, own = np.concatenate([best, score[own != q_id]]), np.concatenate([names, own[own != q_id]])
-            if len(score) > k:
-                first = np.lexsort((own, -score))[:k]
-                score, own = score[first], own[first]
-            best, names = score, own
-            if len(best) == k:
-                kth = min(kth, float(np.sqrt(max(q2 + self.norm2 - 2 * best.min(), 0))) + 2 * slack)
-        first = np.lexsort((names, -best))
-        return best[first], names[first], took
+        live = np.arange(len(q))
+        while len(live):
+            take = bound[live].argmin(axis=1)
+            low = bound[live, take]
+            open_ = (low <= kth[live]) & np.isfinite(low)
+            live, take = live[open_], take[open_]
+            order = np.argsort(take, kind="stable")
+            for group in np.split(order, np.nonzero(np.diff(take[order]))[0] + 1) if len(order) else []:
+                of, node = live[group], int(take[group[0]])
+                bound[of, node] = np.inf
+                below = self.inner[node]
+                if not len(below):
+                    scan(node, of, apart[of, node])
+                    continue
+                maybe = np.abs(apart[of, node][:, None] - self.up[below][None, :]) - self.radius[below][None, :] <= kth[of][:, None]
+                some = maybe.any(axis=0)
+                below, maybe = below[some], maybe[:, some]
+                if len(below):
+                    d = distances(full[of], self.centre[below])
+                    took[of] += len(below)
+                    apart[np.ix_(of, below)] = d
+                    bound[np.ix_(of, below)] = np.where(maybe, np.maximum(d - self.radius[below][None, :], 0), np.inf)
+        return best, names, took
 
 
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -249,14 +267,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, *, k: int = 20, scale: float =
     trees = staged(dealt.select("id", "dim", "v", "route", "cut").groupBy("dim", "route", "cut").applyInArrow(build, "dim int, route int, cut int, radius double, centre array<double>, tree binary"), "search-trees")
 
     def search(c: pa.Table, q: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], [], []]
-        if c.num_rows and q.num_rows:
-            tree, (q_ids, y) = pickle.loads(c.column("tree")[0].as_py()), _matrix(q)
-            for i, v, kth in zip(q_ids.tolist(), y, q.column("kth").to_pylist()):
-                best, names, took = tree.search(i, v, k, np.inf if kth is None else kth)
-                for part, more in zip(out, ([i] * (len(best) + 1), [None, *names.tolist()], [None, *best.astype(np.int64).tolist()], [took] + [None] * len(best))):
-                    part += more
-        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score", "took"), out)})
+        if not c.num_rows or not q.num_rows:
+            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score", "took")})
+        tree, (q_ids, y) = pickle.loads(c.column("tree")[0].as_py()), _matrix(q)
+        kth = np.array([np.inf if x is None else x for x in q.column("kth").to_pylist()])
+        best, names, took = tree.search(q_ids, y, k, kth)
+        there = best > -np.inf
+        none = pa.nulls(len(q_ids), pa.int64())
+        columns = (np.repeat(q_ids, there.sum(axis=1)), q_ids), (names[there], none), (best[there].astype(np.int64), none), (pa.nulls(int(there.sum()), pa.int64()), took)
+        return pa.table({n: pa.chunked_array([pa.array(x, pa.int64()) for x in parts]) for n, parts in zip(("query_id", "vec_id", "score", "took"), columns)})
 
     def visit(pairs: DataFrame, name: str) -> DataFrame:
         """What the pairs (id, dim, v, kth, route, cut) of query and block give; a block goes to as many tasks as it has sets of queries."""
