@@ -4,6 +4,7 @@ import pytest
 from helpers import START, candle, closes, ema, series, walk, wilder
 from datetime import timedelta
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.clock import FeatureClock
@@ -268,7 +269,7 @@ def test_slope_far_into_a_series(spark):
     from tidemark.functions import Frame, momentum
 
     df = series(spark, walk(200)).withColumn("_lnc", F.ln("close"))
-    order = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("timestamp_utc")) - 1
+    order = F.row_number().over(Window.orderBy("timestamp_utc")) - 1
     both = [[r["s"] for r in df.withColumn("_rn", order + at).select("timestamp_utc", momentum.slope(Frame(), 48).alias("s")).orderBy("timestamp_utc").collect()] for at in (0, 1_500_000)]
     relative(both[1][47:], both[0][47:], 1e-10)
     assert all(x is None for x in both[0][:47])
