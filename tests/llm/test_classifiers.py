@@ -180,7 +180,7 @@ def test_labels_overrule_the_general_list():
 @pytest.mark.parametrize("word", ["ужасник", "κακοποιός", "废物", "zorpic"])
 def test_words_of_any_script_are_learned(make, spark, word):
     r, vocabulary = random.Random(1), ["мирный", "λόγος", "平和", "garden", "river", "stone", "cloud", "meadow"]
-    plain = lambda i: " ".join(r.choice(vocabulary) + str(i % 7) * 0 for _ in range(30)) + f" {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"
+    plain = lambda i: " ".join(r.choice(vocabulary) for _ in range(30)) + f" {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}"
     rows = [(i, plain(i) + (f" {word} " + plain(i) if i % 2 else "")) for i in range(120)]
     labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
     lexicon = toxicity.fit(make(rows), labels)

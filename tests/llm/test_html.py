@@ -1,3 +1,5 @@
+from html.parser import HTMLParser
+
 import pytest
 
 from tidemark.llm import html_text
@@ -90,7 +92,7 @@ def test_parsing_is_linear():
         assert time.process_time() - began < 3
 
 
-class Plain(__import__("html.parser", fromlist=["HTMLParser"]).HTMLParser):
+class Plain(HTMLParser):
     """The lines of the one article of a well-formed page, by the standard parser."""
 
     BAD, BLOCK = {"nav", "aside", "form", "footer", "script", "style"}, {"p", "h1", "li", "ul", "div", "section", "article", "blockquote", *{"nav", "aside", "form", "footer"}}
