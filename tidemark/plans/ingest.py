@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -12,17 +11,19 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..errors import ConfigError, TidemarkError
 from ..operators import clean, gaps, validate
 from ..operators.resample import resample_all
 from ..schema import CANDLE_COLUMNS, CANDLE_SCHEMA, SERIES
 from ..sources import klines
 from ..sources.candles import content_hash, partitions, read_candles, write_candles
-from ..sources.files import delete, exists, replace, write_text
+from ..sources.files import delete, exists, make, names, read_text, replace, write_bytes, write_text
+from ..sources.http import Archive
 from ..sources.provider import DataProvider, with_retry
 from . import calendar
 
 
-class Interrupted(RuntimeError):
+class Interrupted(TidemarkError, RuntimeError):
     """The run was stopped; what is done stays done."""
 
 
@@ -43,52 +44,106 @@ def checkpoint_id(market: Market, start: str, end: str) -> str:
 
 
 class Checkpoint:
-    """Which chunks are done, as a JSON file that is replaced whole; a corrupt one raises."""
+    """How far a backfill is, as a JSON file of any store that is replaced whole; a corrupt one raises ConfigError."""
 
-    def __init__(self, folder: str, name: str):
-        self.path = os.path.join(folder, f"{name}.json")
-        self.done: dict[str, dict[str, Any]] = {}
-        if os.path.exists(self.path):
-            with open(self.path, encoding="utf-8") as f:
-                self.done = json.load(f)["done"]
+    def __init__(self, spark: SparkSession, folder: str, name: str, **about: Any):
+        self._spark, self.path = spark, f"{folder.rstrip('/')}/_checkpoints/{name}.json"
+        self.state: dict[str, Any] = {"id": name, **about, "status": "in_progress", "last_error": None, "done": {}}
+        if exists(spark, self.path):
+            self.state |= _state(spark, self.path)
+
+    @property
+    def done(self) -> dict[str, dict[str, Any]]:
+        return self.state["done"]
+
+    def _save(self) -> None:
+        write_text(self._spark, self.path, json.dumps(self.state, indent=1, sort_keys=True))
 
     def mark(self, chunk: int, told: dict[str, Any]) -> None:
         self.done[str(chunk)] = told
-        tmp = f"{self.path}.tmp"
-        with open(tmp, "w", encoding="utf-8") as f:
-            json.dump({"done": self.done}, f)
-        os.replace(tmp, self.path)
+        self.state["completed_until_ms"] = max(t["end_ms"] for t in self.done.values())
+        self._save()
+
+    def end(self, status: str, error: str | None = None) -> None:
+        """completed, interrupted or failed."""
+        self.state |= {"status": status, "last_error": error}
+        self._save()
 
     def has(self, chunk: int) -> bool:
         """Done, and its file still there."""
         told = self.done.get(str(chunk))
-        return told is not None and os.path.exists(told["path"])
+        return told is not None and exists(self._spark, told["path"])
+
+
+def _state(spark: SparkSession, path: str) -> dict[str, Any]:
+    try:
+        found = json.loads(read_text(spark, path))
+        if isinstance(found.get("done"), dict):
+            return found
+    except (ValueError, AttributeError):
+        pass
+    raise ConfigError(f"{path} is no checkpoint")
+
 
+def find_checkpoints(spark: SparkSession, folder: str, *, status: str | None = None) -> list[dict[str, Any]]:
+    """The states of all backfills that landed in `folder`, by id."""
+    at = f"{folder.rstrip('/')}/_checkpoints"
+    states = [_state(spark, f"{at}/{n}") for n in names(spark, at) if n.endswith(".json") and not n.startswith(".")]
+    return [s for s in states if status is None or s["status"] == status]
 
-def backfill(spark: SparkSession, provider: DataProvider, market: Market, start: str, end: str, *, landing: str, limit: int = 1000, attempts: int = 5, stop: Callable[[int], bool] | None = None, wait: Callable[[float], None] | None = None) -> DataFrame:
+
+def land(spark: SparkSession, provider: DataProvider, market: Market, start_ms: int | None, end_ms: int | None, limit: int, target: str) -> dict[str, Any]:
+    """One page of a provider as a file of any store; tells its path, rows, bytes, SHA-256 and what the provider told."""
+    page = provider.fetch(market.instrument, market.timeframe, start_ms, end_ms, limit)
+    write_bytes(spark, target, page.raw)
+    return {"path": target, "source": provider.name, **page.about()}
+
+
+def backfill(spark: SparkSession, provider: DataProvider, market: Market, start: str, end: str, *, landing: str, limit: int = 1000, attempts: int = 5, resume: bool = True, stop: Callable[[int], bool] | None = None, wait: Callable[[float], None] | None = None) -> DataFrame:
     """Fetch [start, end) in chunks to `landing`, resuming what a run before did, and give cleaned candles with `seq`.
 
-    Exact duplicates go, conflicting candles stay for the validator.  `stop(done)` interrupts between chunks.
+    Exact duplicates go, conflicting candles stay for the validator.  `stop(done)` interrupts between chunks.  A chunk that
+    can't be fetched leaves the state failed, with the error; the next run goes on from there.
     """
-    os.makedirs(landing, exist_ok=True)
-    state = Checkpoint(landing, checkpoint_id(market, start, end))
+    name = checkpoint_id(market, start, end)
+    make(spark, f"{landing.rstrip('/')}/_checkpoints")
     plan = calendar.plan_chunks(spark, start, end, market.timeframe, limit=limit).orderBy("chunk").collect()
-    for done, row in enumerate(plan):
-        if stop is not None and stop(done):
-            raise Interrupted(f"stopped before chunk {row['chunk']}")
-        if state.has(row["chunk"]):
-            continue
-        target = os.path.join(landing, f"{market.instrument.lower()}_{market.timeframe}_{row['start_ms']}_{row['end_ms']}.json")
-        if os.path.exists(target):
-            os.remove(target)  # landed by a run that ended before it was marked
-        options = {} if wait is None else {"sleep": wait}
-        told = with_retry(lambda: provider.fetch(market.instrument, market.timeframe, row["start_ms"], row["end_ms"], limit, target), attempts=attempts, **options)
-        state.mark(row["chunk"], told)
+    if not resume:
+        delete(spark, f"{landing.rstrip('/')}/_checkpoints/{name}.json")
+    state = Checkpoint(spark, landing, name, **market.names(), start=start, end=end)
+    if state.state.setdefault("limit", limit) != limit:
+        raise ConfigError(f"{name} was begun with chunks of {state.state['limit']} candles, not {limit}")
+    state.state["planned"] = len(plan)
+    options = {} if wait is None else {"sleep": wait}
+    try:
+        for done, row in enumerate(plan):
+            if stop is not None and stop(done):
+                raise Interrupted(f"stopped before chunk {row['chunk']}")
+            if state.has(row["chunk"]):
+                continue
+            lo, hi = row["start_ms"], row["end_ms"]
+            target = f"{landing.rstrip('/')}/{market.instrument.lower()}_{market.timeframe}_{lo}_{hi}.json"
+            told = with_retry(lambda: land(spark, provider, market, lo, hi, limit, target), attempts=attempts, **options)  # noqa: B023
+            state.mark(row["chunk"], {"start_ms": lo, "end_ms": hi, **told})
+    except Interrupted as e:
+        state.end("interrupted", str(e))
+        raise
+    except Exception as e:
+        state.end("failed", f"{type(e).__name__}: {e}")
+        raise
+    state.end("completed")
     candles = klines.candles_from_json(spark, [state.done[str(r["chunk"])]["path"] for r in plan], **market.names())
     ordered = candles.withColumn("seq", F.unix_micros("timestamp_utc"))
     return clean.drop_exact_duplicates(ordered, seq="seq")
 
 
+def from_archive(spark: SparkSession, archive: Archive, market: Market, first: str, last: str, *, landing: str) -> DataFrame:
+    """Candles with `seq` of the days [first, last]: monthly archives of whole months, daily ones of others, landed and verified."""
+    plan = calendar.plan_months(spark, first, last).orderBy("year", "month").collect()
+    landed = archive.land_plan(spark, landing, market.instrument, market.timeframe, plan)
+    return klines.candles_from_zip(spark, [t["path"] for t in landed], checksums=True, **market.names())
+
+
 #: A row of the partition manifests of a table: what was expanded, from what, and what was written.
 MANIFEST = ", ".join(f"{c} string" for c in SERIES) + ", year int, month int, raw_rows long, raw_hash string, rows long, hash string, first_time timestamp, last_time timestamp, gaps long, issues long, status string"
 
@@ -159,4 +214,4 @@ def root_manifest(spark: SparkSession, table: str) -> dict[str, Any]:
     return out
 
 
-__all__ = ["Checkpoint", "Interrupted", "Market", "backfill", "checkpoint_id", "expand", "manifests", "root_manifest"]
+__all__ = ["Checkpoint", "Interrupted", "Market", "backfill", "checkpoint_id", "expand", "find_checkpoints", "from_archive", "land", "manifests", "root_manifest"]

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import platform
 from datetime import datetime, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.candles import partition_summary
@@ -16,6 +17,9 @@ from .registry import FeatureRegistry
 
 MANIFEST_VERSION = "1.0"
 
+#: Relative difference that recursive and windowed sums may show on another runtime.
+FLOAT_TOLERANCE = 1e-10
+
 
 def row_hash(df: DataFrame, columns: list[str] | None = None):
     """SHA-256 of a row's values as text; NULL differs from the empty text."""
@@ -40,8 +44,8 @@ def dataset_hash(hashes: DataFrame) -> str:
     return hashlib.sha256("".join(listed).encode()).hexdigest()
 
 
-def candle_manifest(candles: DataFrame, *, source: str, report: dict[str, Any] | None = None, config_hash: str = "") -> dict[str, Any]:
-    """What the candles are, month by month; the status follows from the validation report."""
+def candle_manifest(candles: DataFrame, *, source: str, report: dict[str, Any] | None = None, config_hash: str = "", path: str | None = None) -> dict[str, Any]:
+    """What the candles are, month by month; the status follows from the validation report.  With `path` also the files of their table."""
     hashes = partition_hashes(candles)
     months = [r.asDict() for r in partition_summary(candles).join(hashes.select("year", "month", "hash"), ["year", "month"]).orderBy("year", "month").collect()]
     return {
@@ -52,13 +56,30 @@ def candle_manifest(candles: DataFrame, *, source: str, report: dict[str, Any] |
         "rows": sum(m["rows"] for m in months),
         "partitions": [{k: v.isoformat() if isinstance(v, datetime) else v for k, v in m.items()} for m in months],
         "dataset_sha256": hashlib.sha256("".join(m["hash"] for m in months).encode()).hexdigest(),
+        "files": [] if path is None else _files(candles.sparkSession, path),
         "validation": report or {},
         "status": "PASS" if report is None or report.get("is_valid") else "FAIL",
     }
 
 
-def feature_manifest(features: DataFrame, registry: FeatureRegistry, *, candle_manifest_sha256: str = "") -> dict[str, Any]:
-    """Catalogue, coverage, hashes of a feature table, from two aggregations."""
+def file_report(spark: SparkSession, path: str, *, time: str = "timestamp_utc") -> DataFrame:
+    """file, bytes, sha256, rows, first_time, last_time of every Parquet file of a table, wherever it lies.
+
+    A file is hashed whole in the task that reads it, so files must be under 2 GB; of the rows only the times are read.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    hashed = found.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    rows = spark.read.schema(f"{time} timestamp").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(path).select(F.col("_metadata.file_path").alias("file"), time)
+    return hashed.join(rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min(time).alias("first_time"), F.max(time).alias("last_time")), "file", "left").na.fill(0, ["rows"])
+
+
+def _files(spark: SparkSession, path: str) -> list[dict[str, Any]]:
+    """The report as rows of JSON, in the order of names below `path`."""
+    return [{k: v.isoformat() if isinstance(v, datetime) else v for k, v in r.asDict().items()} for r in file_report(spark, path).orderBy("file").collect()]
+
+
+def feature_manifest(features: DataFrame, registry: FeatureRegistry, *, candle_manifest_sha256: str = "", path: str | None = None) -> dict[str, Any]:
+    """Catalogue, coverage, hashes of a feature table, from two aggregations; with `path` also the files that it lies in."""
     hashes = partition_hashes(features)
     counts = features.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -81,6 +102,8 @@ def feature_manifest(features: DataFrame, registry: FeatureRegistry, *, candle_m
         "partitions": months,
         "dataset_sha256": hashlib.sha256("".join(m["hash"] for m in months).encode()).hexdigest(),
         "candle_manifest_sha256": candle_manifest_sha256,
+        "determinism": {"hash": "content", "independent_of": ["files", "row groups", "order of rows"], "float_tolerance": FLOAT_TOLERANCE, "python": platform.python_version(), "spark": features.sparkSession.version},
+        "storage": {"format": "parquet", "compression": "zstd", "partitions": ["venue", "instrument", "feature_set", "year", "month"], "files": [] if path is None else _files(features.sparkSession, path)},
     }
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from typing import Any
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validate
 from ..sources.candles import inspect_timeframes
+from ..sources.files import write_text
 
 
 def coverage(annotated: DataFrame, start, end, *, step: int = 60, series: list[str] = validate.SERIES) -> DataFrame:
@@ -37,3 +41,51 @@ def markdown(candles: DataFrame) -> str:
     rows = inspect_timeframes(candles).orderBy("timeframe").collect()
     head = "| timeframe | rows | complete % | first | last | low | high | volume |\n|---|---|---|---|---|---|---|---|\n"
     return head + "".join(f"| {r['timeframe']} | {r['rows']} | {r['complete_percent']} | {r['first_time']} | {r['last_time']} | {r['min_low']} | {r['max_high']} | {r['volume']} |\n" for r in rows)
+
+
+#: Issues that a quality summary counts together.
+OHLC = ("OHLC",)
+VOLUME = ("NEGATIVE_VOLUME", "TAKER_VOLUME_EXCEEDS_TOTAL")
+
+
+def quality_summary(annotated: DataFrame, candles: DataFrame, start: str, end: str, *, step: int = 60, landed: list[dict[str, Any]] | None = None, **more: Any) -> DataFrame:
+    """One row per series of validated minutes: what was asked for and what came, issues by class, and `timeframes` of its table.
+
+    Bounds are half open.  `landed` are the files told by ingestion, counted over all series; `more` are constants such as
+    durations, as columns of their names.
+    """
+    keys = [k for k in validate.SERIES if k != "timeframe"]
+    told = coverage(annotated, start, end, step=step)
+    kind = lambda *parts: F.sum(F.size(F.filter("issues", lambda i: _any(i, parts))).cast("long"))
+    counted = annotated.groupBy(*validate.SERIES).agg(
+        F.min("timestamp_utc").alias("actual_start"), F.max("timestamp_utc").alias("actual_end"), F.count(F.lit(1)).alias("rows"), F.sum((F.size(F.filter("issues", lambda i: i != "DATA_GAP_DETECTED")) > 0).cast("long")).alias("invalid_rows"),
+        kind(*OHLC).alias("ohlc_violations"), kind("NON_POSITIVE_PRICE").alias("non_positive_prices"), kind(*VOLUME).alias("volume_anomalies"), F.sum((~F.col("is_complete")).cast("long")).alias("incomplete_rows"),
+    )
+    bars = candles.groupBy(*keys, "timeframe").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("is_complete").cast("long")).alias("complete_rows"), F.min("timestamp_utc").alias("first_time"), F.max("timestamp_utc").alias("last_time"))
+    bars = bars.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("timeframe", "rows", "complete_rows", (F.col("rows") - F.col("complete_rows")).alias("incomplete_rows"), "first_time", "last_time"))).alias("timeframes"))
+    fixed = {"requested_start": F.lit(start).cast("timestamp"), "requested_end": F.lit(end).cast("timestamp"), "status": F.when(F.col("is_valid"), "PASS").otherwise("FAIL"), "raw_files": F.lit(len(landed or [])), "raw_bytes": F.lit(sum(t.get("bytes", 0) for t in landed or [])).cast("long")}
+    out = counted.join(told, validate.SERIES).join(bars, keys, "left").withColumn("valid_rows", F.col("rows") - F.col("invalid_rows"))
+    return out.withColumns(fixed | {k: F.lit(v) for k, v in more.items()})
+
+
+def _any(issue, parts: tuple[str, ...]):
+    """Whether an issue's name holds one of the parts."""
+    found = F.lit(False)
+    for p in parts:
+        found = found | issue.contains(p)
+    return found
+
+
+def save_quality(spark: SparkSession, summary: DataFrame, path: str) -> list[dict[str, Any]]:
+    """The summary, one row per series, as JSON at `path` and as Markdown beside it."""
+    rows = [r.asDict(recursive=True) for r in summary.orderBy(*validate.SERIES).collect()]
+    write_text(spark, path, json.dumps(rows, indent=2, sort_keys=True, default=str))
+    lines: list[str] = []
+    for r in rows:
+        lines += [f"# {r['venue']} {r['instrument']} {r['market_type']} {r['timeframe']}: {r['status']}", ""]
+        lines += [f"* {k}: {v}" for k, v in sorted(r.items()) if k not in (*validate.SERIES, "status", "timeframes")]
+        lines += ["", "| timeframe | rows | complete | first | last |", "|---|---|---|---|---|"]
+        lines += [f"| {t['timeframe']} | {t['rows']} | {t['complete_rows']} | {t['first_time']} | {t['last_time']} |" for t in r["timeframes"] or []]
+        lines.append("")
+    write_text(spark, path.rsplit(".json", 1)[0] + ".md", "\n".join(lines))
+    return rows

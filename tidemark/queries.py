@@ -381,8 +381,8 @@ def segmented_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(f, n, *REGISTRY.history_by_family()[f]) for f, n in default_registry().counts_by_family().items()]
-    rows = [(f, n, *default_registry().history_by_family()[f]) for f, n, *_ in rows]
+    registry = default_registry()
+    rows = [(f, n, *registry.history_by_family()[f]) for f, n in registry.counts_by_family().items()]
     return spark.createDataFrame(rows, "family string, features long, min_history long, max_history long")
 
 

@@ -10,14 +10,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
+from ..errors import ConfigError
+
 SECRET_WORDS = ("password", "passwd", "secret", "token", "key", "auth", "credential")
 _VARIABLE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::-([^}]*))?\}")
 
 
-class ConfigError(ValueError):
-    """A configuration that can't be used."""
-
-
 def _typed(text: str) -> Any:
     if text.lower() in ("true", "false"):
         return text.lower() == "true"

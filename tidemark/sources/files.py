@@ -41,12 +41,41 @@ def replace(df: DataFrame, path: str) -> None:
     fs.delete(Path(old), True)
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """A folder, with those above it."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.mkdirs(p):
+        raise OSError(f"can't make {path}")
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it isn't there."""
+    fs, p, _ = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def writable(spark: SparkSession, path: str) -> bool:
+    """Whether a file can be made in a folder."""
+    probe = f"{path.rstrip('/')}/.probe-{uuid.uuid4().hex}"
+    try:
+        write_text(spark, probe, "")
+        delete(spark, probe)
+    except Exception:  # whatever the store raises
+        return False
+    return True
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file, put in place by a rename."""
+    write_bytes(spark, path, text.encode())
+
+
+def write_bytes(spark: SparkSession, path: str, raw: bytes) -> None:
+    """A file that fits the driver, put in place by a rename."""
     fs, p, Path = _fs(spark, path)
     tmp = Path(f"{path}.tmp-{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
-    out.write(bytearray(text.encode()))
+    out.write(bytearray(raw))
     out.close()
     fs.delete(p, False)
     if not fs.rename(tmp, p):
@@ -55,11 +84,16 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file; a missing one raises FileNotFoundError."""
+    return read_bytes(spark, path).decode()
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """A file that fits the driver; a missing one raises FileNotFoundError."""
     fs, p, _ = _fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
     stream = fs.open(p)
     try:
-        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
     finally:
         stream.close()

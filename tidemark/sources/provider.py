@@ -5,14 +5,37 @@ from __future__ import annotations
 import abc
 import hashlib
 import json
-import os
 import time
 from collections.abc import Callable
+from dataclasses import dataclass, field
 from typing import Any
 
 
+@dataclass(frozen=True)
+class Page:
+    """A raw answer, kept as it came: a JSON array of klines in time order."""
+
+    raw: bytes
+    rows: int
+    first_ms: int | None
+    last_ms: int | None
+    told: dict[str, Any] = field(default_factory=dict)
+
+    @classmethod
+    def of(cls, raw: bytes, **told: Any) -> Page:
+        """The page of an answer; one that is no array raises ValueError."""
+        klines = json.loads(raw)
+        if not isinstance(klines, list):
+            raise ValueError(f"an answer is no array of klines: {raw[:200]!r}")
+        first, last = (int(klines[0][0]), int(klines[-1][0])) if klines else (None, None)
+        return cls(raw, len(klines), first, last, told)
+
+    def about(self) -> dict[str, Any]:
+        return {"rows": self.rows, "first_ms": self.first_ms, "last_ms": self.last_ms, "sha256": hashlib.sha256(self.raw).hexdigest(), "bytes": len(self.raw), **self.told}
+
+
 class DataProvider(abc.ABC):
-    """A source of raw klines.  Implementations that need a network live outside the library."""
+    """A source of raw klines."""
 
     name: str = "abstract"
 
@@ -23,8 +46,8 @@ class DataProvider(abc.ABC):
     def server_time_ms(self) -> int: ...
 
     @abc.abstractmethod
-    def fetch(self, symbol: str, interval: str, start_ms: int, end_ms: int, limit: int, target: str) -> dict[str, Any]:
-        """Land the klines that open in [start_ms, end_ms], at most `limit`, as JSON at `target`; tell path, rows, sha256, first and last open time."""
+    def fetch(self, symbol: str, interval: str, start_ms: int | None, end_ms: int | None, limit: int) -> Page:
+        """The klines that open in [start_ms, end_ms], at most `limit`; without bounds the last ones."""
 
 
 class LandedProvider(DataProvider):
@@ -42,14 +65,11 @@ class LandedProvider(DataProvider):
     def server_time_ms(self) -> int:
         return int(self._klines[-1][0]) if self._klines else 0
 
-    def fetch(self, symbol: str, interval: str, start_ms: int, end_ms: int, limit: int, target: str) -> dict[str, Any]:
-        page = [k for k in self._klines if start_ms <= int(k[0]) <= end_ms][:limit]
-        raw = json.dumps(page).encode()
-        if os.path.exists(target):
-            raise FileExistsError(f"{target} has landed already")
-        with open(target, "xb") as f:
-            f.write(raw)
-        return {"path": target, "rows": len(page), "sha256": hashlib.sha256(raw).hexdigest(), "first_ms": int(page[0][0]) if page else None, "last_ms": int(page[-1][0]) if page else None}
+    def fetch(self, symbol: str, interval: str, start_ms: int | None, end_ms: int | None, limit: int) -> Page:
+        if limit < 1:
+            raise ValueError("a page needs a kline")
+        found = [k for k in self._klines if (start_ms is None or start_ms <= int(k[0])) and (end_ms is None or int(k[0]) <= end_ms)]
+        return Page.of(json.dumps(found[-limit:] if start_ms is None else found[:limit]).encode())
 
 
 def with_retry(call: Callable[[], Any], *, attempts: int = 5, first_wait: float = 1.0, fatal: tuple[type[BaseException], ...] = (FileNotFoundError, FileExistsError), sleep: Callable[[float], None] = time.sleep) -> Any:

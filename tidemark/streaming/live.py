@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import CANDLE_COLUMNS, seconds
+from ..sources.candles import PARTITIONS
 
 TICK_SCHEMA = T.StructType([T.StructField("instrument", T.StringType()), T.StructField("ts", T.TimestampType()), T.StructField("price", T.DoubleType()), T.StructField("quantity", T.LongType()), T.StructField("is_taker_buy", T.BooleanType())])
 
@@ -18,17 +19,17 @@ def tick_stream(spark: SparkSession, path: str, *, files_per_trigger: int = 100)
     return spark.readStream.schema(TICK_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def live_candles(ticks: DataFrame, timeframe: str, *, venue: str, market_type: str = "spot", lateness: str = "0 seconds") -> DataFrame:
+def live_candles(ticks: DataFrame, timeframe: str, *, venue: str, market_type: str = "spot", lateness: str = "0 seconds", order: str = "ts") -> DataFrame:
     """Candles of a stream of ticks; in append mode a candle comes out once the watermark has passed its end, so all that
-    come out are complete.  Ticks later than `lateness` are dropped; they are mended by writing their month again in batch."""
+    come out are complete.  Ticks later than `lateness` are dropped; they are mended by writing their month again in batch.  `order` names the sequence number of ticks, if several may have one time."""
     quote = F.col("price") * F.col("quantity")
     step = seconds(timeframe)
     bars = ticks.withWatermark("ts", lateness).groupBy("instrument", F.window("ts", f"{step} seconds").alias("w"))
     rows = bars.agg(
-        F.min_by("price", "ts").alias("open"),
+        F.min_by("price", order).alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", "ts").alias("close"),
+        F.max_by("price", order).alias("close"),
         F.sum("quantity").cast("double").alias("volume"),
         F.sum(quote).alias("quote_volume"),
         F.count(F.lit(1)).alias("trade_count"),
@@ -40,9 +41,9 @@ def live_candles(ticks: DataFrame, timeframe: str, *, venue: str, market_type: s
 
 
 def write_candle_stream(candles: DataFrame, path: str, checkpoint: str, *, once: bool = True):
-    """Append candles by month; with `once` all that is there, then stop."""
+    """Append candles to a candle table; with `once` all that is there, then stop."""
     months = candles.withColumn("year", F.year("timestamp_utc")).withColumn("month", F.month("timestamp_utc"))
-    writer = months.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy("timeframe", "year", "month")
+    writer = months.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*PARTITIONS)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
