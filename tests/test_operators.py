@@ -221,6 +221,12 @@ def test_expansion_of_two_instruments_and_a_grown_month(spark, tmp_path):
     tables.write_candles(raw("AAA", 10).drop("seq"), path)
     assert ingest.expand(spark, raw("AAA", 600), table=path).count() == 1 and count()["AAA", "1m"] == 600  # rows had gone: done again
     assert ingest.expand(spark, raw("AAA", 20), table=path, force=True).count() == 1 and count()["AAA", "1m"] == 20
+    known = raw("CCC", 40)
+    assert ingest.expand(spark, known, table=path, identity="x").count() == 1
+    unread = known.where(F.raise_error(F.lit("read")).isNull())  # a run of the same identity doesn't read
+    assert ingest.expand(spark, unread, table=path, identity="x").count() == 0 and count()["CCC", "1m"] == 40
+    tables.write_candles(raw("CCC", 10).drop("seq"), path)
+    assert ingest.expand(spark, known, table=path, identity="x").count() == 1 and count()["CCC", "1m"] == 40
     assert sorted(p.name for p in tmp_path.iterdir()) == ["gaps", "t"]
 
 

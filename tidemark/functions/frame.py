@@ -64,14 +64,11 @@ class Frame:
         """value where n bars are there, else NULL (Spark's frames are partial at the start)."""
         return F.when(self.rn >= n - 1, value)
 
-    def running(self, x: Column) -> Column:
-        """Sum from the start of the partition: one step per row, whatever the window it is later cut to."""
-        return F.sum(x).over(self.o.rowsBetween(Window.unboundedPreceding, 0))
-
-    def last(self, total: str, n: int, skip: int = 0) -> Column:
-        """Sum of the n values that end `skip` rows before the current one, as the difference of two running totals."""
-        now = self.lag(F.col(total), skip) if skip else F.col(total)
-        return F.coalesce(now, F.lit(0)) - F.coalesce(self.lag(F.col(total), n + skip), F.lit(0))  # decimals stay exact
+    def since_missing(self, x: Column) -> Column:
+        """How many values of x in a row, up to this one, are there: one step per row, whatever the window it is held against."""
+        last = F.max(F.when(x.isNull(), self.rn)).over(self.o.rowsBetween(Window.unboundedPreceding, 0))
+        first = F.min(self.rn).over(self.o.rowsBetween(Window.unboundedPreceding, 0))
+        return self.rn - F.coalesce(last, first - 1)
 
     def every(self, x: Column, n: int, value: Column) -> Column:
         """value where the last n values of x are there and not NULL."""

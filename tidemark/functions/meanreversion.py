@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .frame import Frame, clamp
 from .returns import EPSILON
-from .volatility import realized, squares, zscore
+from .volatility import realized, zscore
 
 
 def price_zscore(f: Frame, n: int) -> Column:
@@ -37,9 +37,10 @@ def hurst_proxy(n: int) -> Column:
     return F.when(dev.isNotNull(), F.when((dev > 0) & (span > 0), clamp(F.ln(span / dev) / math.log(n), 0, 1)).otherwise(0.5))
 
 
-def autocorrelation(f: Frame, n: int) -> Column:
+def autocorrelation(f: Frame, n: int, returns: str = "_lr") -> Column:
     """Correlation of returns with those one bar before, over n pairs, all there; 0 where either doesn't vary."""
-    a, b = squares(f, n), squares(f, n, 1)
-    total = lambda name, skip=0: f.last(name, n, skip).cast("double")
-    both = total("_p_rb") - total("_p_r") * total("_p_r", 1) / n
-    return F.when(f.last("_k_rb", n) == n, F.when((a > 0) & (b > 0), clamp(both / F.sqrt(a * b), -1, 1)).otherwise(0.0))
+    a, b = F.col(returns), F.col(f"{returns}1")
+    over = lambda x: x.over(f.w(n))
+    sa, sb = over(F.stddev_samp(a)), over(F.stddev_samp(b))
+    value = F.when((sa > 0) & (sb > 0), clamp(over(F.covar_samp(a, b)) / (sa * sb), -1, 1)).otherwise(0.0)
+    return F.when(F.col(f"{returns}_n") > n, value)

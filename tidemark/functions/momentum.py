@@ -17,12 +17,14 @@ def rate_of_change(f: Frame, n: int) -> Column:
 def slope(f: Frame, n: int, log_close: str = "_lnc") -> Column:
     """Least-squares slope of ln C over the window, times n, over |ln C|; NULL if a price in the window isn't positive.
 
-    Spark's slope works on deviations from the window's own means, so neither the bar's index nor the price level costs digits.
+    Spark's covariance works on deviations from the window's own means, so neither the bar's index nor the price level costs
+    digits; the variance of n positions in a row is a constant.
     """
     if n < 2:
         raise ValueError("a slope needs two bars")
     y = F.col(log_close)
-    return f.full(n, f.every(y, n, F.regr_slope(y, f.rn.cast("double")).over(f.w(n)) * n / (F.abs(y) + EPSILON)))
+    raw = F.covar_pop(y, f.rn.cast("double")).over(f.w(n)) / ((n * n - 1) / 12.0)
+    return f.full(n, f.every(y, n, raw * n / (F.abs(y) + EPSILON)))
 
 
 def sma_deviation(f: Frame, n: int) -> Column:

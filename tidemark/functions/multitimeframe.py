@@ -15,7 +15,7 @@ MICRO_COLUMNS = ("mtf_1m_vol_dispersion", "mtf_1m_taker_trend", "mtf_1m_return_s
 
 
 def with_base(df: DataFrame, f: Frame) -> DataFrame:
-    """Add what several features share: the previous close, what follows from it, and running totals of returns."""
+    """Add what several features share: the previous close, and what follows from it."""
     first = {"_c1": f.lag(f.C, 1), "_lnc": F.when(f.C > 0, F.ln(f.C))}
     then = {
         "_lr": returns_of("_c1", f),
@@ -25,7 +25,7 @@ def with_base(df: DataFrame, f: Frame) -> DataFrame:
         "_gk": volatility.garman_klass_bar(f),
     }
     df = df.withColumns(first).withColumns(then)
-    return df.withColumn("_lr1", f.lag(F.col("_lr"), 1)).withColumns(volatility.running_returns(f))
+    return df.withColumns({"_lr1": f.lag(F.col("_lr"), 1), "_lr_n": f.since_missing(F.col("_lr"))})
 
 
 def returns_of(before: str, f: Frame) -> Column:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from .frame import Frame, clamp, positive, ratio
 
-#: What returns and their products are added up in.
-EXACT = "decimal(38,31)"
-
 
 def true_range(f: Frame, before: str = "_c1") -> Column:
     """From the second bar of a series."""
@@ -23,29 +20,12 @@ def atr_percent(f: Frame, atr: str) -> Column:
     return ratio(F.col(atr), f.C)
 
 
-def running_returns(f: Frame, returns: str = "_lr") -> dict[str, Column]:
-    """Running totals that windows of log returns are cut from: their number, sum, squares, and products with the return before.
-
-    Totals are decimals, so adding and taking differences loses nothing: a window's sum is the same whatever came before it,
-    a large return or the start of a block, and a window without movement has sums of exactly zero.
-    """
-    r, before = F.col(returns), F.col(f"{returns}1")
-    exact = lambda x: f.running(x.cast(EXACT))
-    return {"_k_r": f.running(r.isNotNull().cast("long")), "_p_r": exact(r), "_p_rr": exact(r * r), "_k_rb": f.running((r * before).isNotNull().cast("long")), "_p_rb": exact(r * before)}
-
-
-def squares(f: Frame, n: int, skip: int = 0) -> Column:
-    """Sum of squared deviations of the n returns that end `skip` rows before; zero where rounding is all there is."""
-    s, ss = f.last("_p_r", n, skip).cast("double"), f.last("_p_rr", n, skip).cast("double")
-    around = ss - s * s / n
-    return F.when(around > 1e-13 * ss, around).otherwise(0.0)
-
-
-def realized(f: Frame, n: int) -> Column:
-    """Sample deviation of n log returns, all there."""
+def realized(f: Frame, n: int, returns: str = "_lr") -> Column:
+    """Sample deviation of n log returns, all there; of the window's values alone, so nothing before it costs digits."""
     if n < 2:
         raise ValueError("a deviation needs two returns")
-    return F.when(f.last("_k_r", n) == n, F.sqrt(squares(f, n) / (n - 1)))
+    r = F.col(returns)
+    return F.when(F.col(f"{returns}_n") >= n, F.stddev_samp(r).over(f.w(n)))
 
 
 def garman_klass_bar(f: Frame) -> Column:

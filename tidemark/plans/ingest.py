@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Callable
@@ -154,20 +155,31 @@ def manifests(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(path) if exists(spark, path) else spark.createDataFrame([], MANIFEST)
 
 
-def expand(spark: SparkSession, raw: DataFrame, *, table: str, gap_registry: str | None = None, start: str | None = None, end: str | None = None, force: bool = False, source: str = "archive") -> DataFrame:
+def expand(spark: SparkSession, raw: DataFrame, *, table: str, gap_registry: str | None = None, start: str | None = None, end: str | None = None, force: bool = False, source: str = "archive", identity: str | None = None) -> DataFrame:
     """One job over all months of all series: bounds, last writer per time, validation, gaps, one-minute candles and five higher timeframes.
 
     `raw` are candles with `seq`, read once.  A month of a series is skipped if its manifest tells the same raw rows
     (number and content) and the table still has the rows that it tells.  Other months are merged with the minutes that
     the table has (these win, a conflict raises), or replaced if `force`d, and then all timeframes of the month are
     written anew, so a run that failed can be run again.  Manifests come last.  Gives the validation summary per series.
+
+    `identity` tells what the raw rows are, such as a hash of their files: where a run of the same one has ended and its
+    months are whole, nothing is read.
     """
     aside, month = f"{table.rstrip('/')}.expand-{uuid.uuid4().hex}", [*SERIES, "year", "month"]
+    run = None if identity is None else f"{table.rstrip('/')}/_runs/{hashlib.sha256(json.dumps([identity, start, end]).encode()).hexdigest()}"
+    if run is not None and not force and exists(spark, f"{run}/_SUCCESS"):
+        whole = manifests(spark, table).join(partitions(spark, table), [*month, "rows"], "left_semi")
+        if spark.read.parquet(run).join(whole, month, "left_anti").isEmpty():
+            return spark.createDataFrame([], validate.summary(validate.annotate(spark.createDataFrame([], CANDLE_SCHEMA).withColumn("seq", F.lit(0)))).schema)
     with_month = lambda df: df.withColumns({"year": F.year("timestamp_utc"), "month": F.month("timestamp_utc")})
     try:
         with_month(clean.keep_last(clean.within(raw, start, end), seq="seq")).select(*CANDLE_COLUMNS, "year", "month").write.parquet(f"{aside}/raw")
         rows = spark.read.parquet(f"{aside}/raw")
         told = rows.groupBy(*month).agg(F.count(F.lit(1)).alias("raw_rows"), content_hash(CANDLE_COLUMNS).alias("raw_hash"))
+        told.write.parquet(f"{aside}/all")
+        told = spark.read.parquet(f"{aside}/all")
+        ended = lambda: run is None or spark.read.parquet(f"{aside}/all").select(*month).coalesce(1).write.mode("overwrite").parquet(run)
         old = manifests(spark, table)
         if not force:
             held = old.where("timeframe = '1m'").join(partitions(spark, table), [*month, "rows"], "left_semi")
@@ -183,6 +195,7 @@ def expand(spark: SparkSession, raw: DataFrame, *, table: str, gap_registry: str
         annotated = validate.annotate(minutes.withColumn("seq", F.unix_seconds("timestamp_utc")))
         summary = spark.createDataFrame(validate.summary(annotated).collect(), validate.summary(annotated).schema)  # one row per series
         if minutes.isEmpty():
+            ended()
             return summary
         found = gaps.register(validate.gaps(annotated), source=source)
         if gap_registry is not None:
@@ -197,6 +210,7 @@ def expand(spark: SparkSession, raw: DataFrame, *, table: str, gap_registry: str
         kept = old.join(fresh.select(*month), month, "left_anti")
         replace(kept.select(*[c.split()[0] for c in MANIFEST.split(", ")]).unionByName(fresh.select(*[c.split()[0] for c in MANIFEST.split(", ")])).coalesce(1), f"{table.rstrip('/')}/_manifests")
         root_manifest(spark, table)
+        ended()
         return summary
     finally:
         delete(spark, aside)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from typing import Any
 
@@ -69,7 +70,8 @@ def archive_phase(spark: SparkSession, archive: Archive, market: ingest.Market,
 
 def _finish(spark: SparkSession, rows: DataFrame, market: ingest.Market, start: str, end: str, layout: Layout, *, source: str, landed: list[dict[str, Any]], acquired: float) -> list[dict[str, Any]]:
     began, table = time.time(), _table(layout)
-    ingest.expand(spark, rows, table=table, gap_registry=layout.inside("data/metadata", "gaps"), start=start, end=end, source=source)
+    identity = json.dumps([market.names(), sorted(t["sha256"] for t in landed)])
+    ingest.expand(spark, rows, table=table, gap_registry=layout.inside("data/metadata", "gaps"), start=start, end=end, source=source, identity=identity)
     held = _minutes(read_candles(spark, table), market).where((F.col("timestamp_utc") >= F.lit(start).cast("timestamp")) & (F.col("timestamp_utc") < F.lit(end).cast("timestamp")))
     minutes = held.where("timeframe = '1m'").withColumn("seq", F.unix_seconds("timestamp_utc"))
     name = ingest.checkpoint_id(market, start, end)
