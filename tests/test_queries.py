@@ -6,7 +6,7 @@ import pytest
 from tidemark.queries import oracle_sql, queries
 
 DATA = "/root/testdata/sf0.001"
-TABLES = ("events", "lineitem")
+TABLES = ("events", "lineitem", "orders")
 
 
 @pytest.fixture(scope="module")
