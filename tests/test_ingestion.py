@@ -264,6 +264,15 @@ def test_quality_summary_counts_classes(spark, tmp_path):
     assert got["Y"]["status"] == "PASS" and got["Y"]["processing_seconds"] == 1.5 and len(json.loads((tmp_path / "q.json").read_text())) == 2 and "# sim X spot 1m: FAIL" in (tmp_path / "q.md").read_text()
 
 
+def test_coverage_expects_candles_of_the_timeframe(spark):
+    rows = [candle(START + timedelta(seconds=step * i), tf=tf) for tf, step, n in (("1m", 60, 30), ("5m", 300, 9), ("1h", 3600, 1)) for i in range(n)]
+    df = validate.annotate(series(spark, [*rows, rows[0]]).withColumn("seq", F.monotonically_increasing_id()))
+    told = lambda end, **k: {r["timeframe"]: (r["expected"], r["actual"], r["coverage_percent"]) for r in report.coverage(df, "2024-01-01 00:00:00", end, **k).collect()}
+    assert told("2024-01-01 01:00:00") == {"1m": (60, 30, 50.0), "5m": (12, 9, 75.0), "1h": (1, 1, 100.0)}
+    assert told("2024-01-01 00:30:00")["1h"] == (0, 1, 0.0)
+    assert told("2024-01-01 01:00:00", step=60)["5m"] == (60, 9, 15.0)
+
+
 def test_file_report(spark, tmp_path):
     rows = series(spark, [candle(START + timedelta(days=20 * i), instrument=n) for i in range(4) for n in "AB"])
     path = str(tmp_path / "t")

@@ -13,12 +13,18 @@ from ..sources.candles import inspect_timeframes
 from ..sources.files import write_text
 
 
-def coverage(annotated: DataFrame, start, end, *, step: int = 60, series: list[str] = validate.SERIES) -> DataFrame:
-    """Per series: expected and actual distinct candles of [start, end), coverage in percent, issues and missing candles."""
-    expected = ((F.unix_seconds(F.lit(end).cast("timestamp")) - F.unix_seconds(F.lit(start).cast("timestamp"))) / step).cast("long")
-    actual = annotated.select(*series, "timestamp_utc").distinct().groupBy(*series).agg(F.count(F.lit(1)).alias("actual"))
-    out = validate.summary(annotated, series=series).join(actual, series)
-    return out.select(*series, expected.alias("expected"), "actual", F.round(F.col("actual") * 100.0 / expected, 4).alias("coverage_percent"), "exact_duplicates", "conflicting_duplicates", "out_of_order", "gaps", "missing_candles", "is_valid")
+def coverage(annotated: DataFrame, start, end, *, step: int | None = None, series: list[str] = validate.SERIES) -> DataFrame:
+    """Per series: candles expected in [start, end), distinct ones there are, coverage in percent, issues and missing candles.
+
+    A candle is expected every `step` seconds, by default those of the series' timeframe.
+    """
+    every = F.col("_step") if step is None else F.lit(step)
+    expected = ((F.unix_seconds(F.lit(end).cast("timestamp")) - F.unix_seconds(F.lit(start).cast("timestamp"))) / every).cast("long")
+    times = annotated.groupBy(*series, "timestamp_utc").agg(F.min("_step").alias("_step"))
+    actual = times.groupBy(*series).agg(F.count(F.lit(1)).alias("actual"), F.min("_step").alias("_step"))
+    out = validate.summary(annotated, series=series).join(actual, series).withColumn("expected", expected)
+    percent = F.when(F.col("expected") > 0, F.round(F.col("actual") * 100.0 / F.col("expected"), 4)).otherwise(0.0)
+    return out.select(*series, "expected", "actual", percent.alias("coverage_percent"), "exact_duplicates", "conflicting_duplicates", "out_of_order", "gaps", "missing_candles", "is_valid")
 
 
 def issue_counts(annotated: DataFrame) -> DataFrame:
@@ -48,7 +54,7 @@ OHLC = ("OHLC",)
 VOLUME = ("NEGATIVE_VOLUME", "TAKER_VOLUME_EXCEEDS_TOTAL")
 
 
-def quality_summary(annotated: DataFrame, candles: DataFrame, start: str, end: str, *, step: int = 60, landed: list[dict[str, Any]] | None = None, **more: Any) -> DataFrame:
+def quality_summary(annotated: DataFrame, candles: DataFrame, start: str, end: str, *, step: int | None = None, landed: list[dict[str, Any]] | None = None, **more: Any) -> DataFrame:
     """One row per series of validated minutes: what was asked for and what came, issues by class, and `timeframes` of its table.
 
     Bounds are half open.  `landed` are the files told by ingestion, counted over all series; `more` are constants such as
